@@ -1,0 +1,22 @@
+"""Size checks behind the choice between a one-task plan and a distributed one."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A group cannot hold more than its whole input, so an input below this bound is safe to
+# aggregate with a per-group value map.
+ONE_TASK_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate, or None where the plan cannot be asked."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
+
+
+def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
