@@ -1,4 +1,6 @@
 """Registered queries over the given tables; importing the package registers them all."""
 
-from hazardlake.catalog import scalars, windows  # noqa: F401
-from hazardlake.catalog.registry import callables, twins  # noqa: F401
+from hazardlake.catalog import (
+    detections, grid, lake, quality, scalars, streams, timeseries, windows,
+)
+from hazardlake.catalog.registry import callables, twins

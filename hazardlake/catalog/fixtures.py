@@ -73,7 +73,7 @@ VIEWS = {
         "l_orderkey", "l_linenumber", "l_shipdate AS acq_time_at",
         "36.5 + CAST(l_suppkey % 60 AS DOUBLE) / 10 AS latitude",
         "-9.8 + CAST(l_partkey % 38 AS DOUBLE) / 10 AS longitude",
-        "l_extendedprice / 50 AS frp",
+        "CAST(floor(l_extendedprice / 50) AS DOUBLE) AS frp",
         "CASE l_returnflag WHEN 'A' THEN 'VIIRS S-NPP' WHEN 'N' THEN 'VIIRS NOAA-20' ELSE 'VIIRS' END"
         " AS satelite",
         "CASE WHEN l_linestatus = 'F' THEN 'D' ELSE 'N' END AS daynight",
@@ -81,12 +81,14 @@ VIEWS = {
 }
 
 BOX = "latitude BETWEEN 36.9 AND 42.2 AND longitude BETWEEN -9.5 AND -6.2"
+# rounded half up on the printed number, not on a multiple of it
 SCORE = (
     "CASE WHEN temp_celsius IS NOT NULL AND humidity_pct IS NOT NULL AND wind_kmh IS NOT NULL "
-    "AND hotspot_count IS NOT NULL THEN round(least(100.0, "
+    "AND hotspot_count IS NOT NULL THEN round(CAST(CAST(least(100.0, "
     "least(40.0, greatest(0.0, (temp_celsius - 15) * 1.5)) "
     "+ least(30.0, greatest(0.0, (100 - humidity_pct) * 0.4)) "
-    "+ least(20.0, greatest(0.0, wind_kmh * 0.5)) + least(10.0, hotspot_count * 3.0)), 1) END"
+    "+ least(20.0, greatest(0.0, wind_kmh * 0.5)) + least(10.0, hotspot_count * 3.0)) AS VARCHAR) "
+    "AS DECIMAL(30, 18)), 1) END"
 )
 LEVEL = ("CASE WHEN risk_score >= 80 THEN 'CRITICAL' WHEN risk_score >= 60 THEN 'HIGH' "
          "WHEN risk_score >= 30 THEN 'MEDIUM' ELSE 'LOW' END")

@@ -15,36 +15,41 @@ from hazardlake.session import prepare
 class Entry(NamedTuple):
     build: Callable[[Tables], DataFrame]
     sql: str | None
+    decimals: int
 
 
 ENTRIES: dict[str, Entry] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a builder under its inventory id, with the SQL it must agree with."""
+def query(name: str, sql: str | None = None, decimals: int = 6):
+    """Register a builder under its inventory id, with the SQL it must agree with.
+
+    ``decimals`` is where both sides round doubles to absorb the order of summation.
+    """
     def register(build: Callable[[Tables], DataFrame]):
         if name in ENTRIES:
             raise ValueError(f"{name} is registered twice")
-        ENTRIES[name] = Entry(build, with_fixtures(sql) if sql else None)
+        ENTRIES[name] = Entry(build, with_fixtures(sql) if sql else None, decimals)
         return build
     return register
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Instants without zone and doubles to six decimals, as the SQL side writes them."""
+def comparable(df: DataFrame, decimals: int) -> DataFrame:
+    """Instants without zone and rounded doubles, as the SQL side writes them."""
     columns = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, TimestampType):
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, DoubleType):
-            column = F.round(column, 6)
+            column = F.round(column, decimals)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(ENTRIES[name].build(Tables(prepare(spark), sf_dir)))
+    entry = ENTRIES[name]
+    return comparable(entry.build(Tables(prepare(spark), sf_dir)), entry.decimals)
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -137,12 +137,12 @@ def clip(t):
 
 # --- filters and projections -----------------------------------------------------------------
 
-@query("prj_03", f"SELECT event_id, latitude, longitude FROM fx_hotspot WHERE {BOX}")
+@query("prj_03", f"SELECT event_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM fx_hotspot WHERE {BOX}")
 def inside(t):
     return t.hotspot.filter(geo.inside_box(F.col("latitude"), F.col("longitude"))).select("event_id", "latitude", "longitude")
 
 
-@query("prj_04", """SELECT event_id, latitude, longitude FROM fx_hotspot
+@query("prj_04", """SELECT event_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM fx_hotspot
 WHERE latitude < 36.9 OR latitude > 42.2 OR longitude < -9.5 OR longitude > -6.2""")
 def outside(t):
     return det_ops.out_of_country(t.hotspot).select("event_id", "latitude", "longitude")
@@ -159,7 +159,7 @@ def fire_season(t):
         "l_orderkey", "l_linenumber", calendar.month_label(F.col("mes")).alias("mes_l"))
 
 
-@query("prj_07", "SELECT event_id, temp_celsius, humidity_pct FROM fx_sensor WHERE temp_celsius IS NOT NULL AND humidity_pct IS NOT NULL")
+@query("prj_07", "SELECT event_id, round(temp_celsius, 6) AS temp_celsius, humidity_pct FROM fx_sensor WHERE temp_celsius IS NOT NULL AND humidity_pct IS NOT NULL")
 def complete_readings(t):
     return t.sensor.dropna(subset=["temp_celsius", "humidity_pct"]).select("event_id", "temp_celsius", "humidity_pct")
 
@@ -191,7 +191,7 @@ def zero_intensity(t):
     return t.hotspot.select("event_id", (frp == 0).alias("suspicious"))
 
 
-@query("prj_13", "SELECT event_id, coalesce(temp_celsius, 0.0) AS temp_celsius, coalesce(nullif(source, 'ipma_real'), 'iot_simulator_v1') AS source FROM fx_sensor")
+@query("prj_13", "SELECT event_id, round(coalesce(temp_celsius, 0.0), 6) AS temp_celsius, coalesce(nullif(source, 'ipma_real'), 'iot_simulator_v1') AS source FROM fx_sensor")
 def defaults(t):
     return t.sensor.select(
         "event_id", values.or_default(F.col("temp_celsius"), 0.0).alias("temp_celsius"),
@@ -271,7 +271,7 @@ def merged_sources(t):
     return access.merge_sources(t.sensor.filter("source = 'iot_simulator_v1'"), t.sensor.filter("source = 'ipma_real'"))
 
 
-@query("src_07", """SELECT event_id, latitude, longitude, bright_ti4, bright_ti5, round(frp, 6) AS frp,
+@query("src_07", """SELECT event_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, bright_ti4, bright_ti5, round(frp, 6) AS frp,
  CAST(event_time AS DATE) AS acq_date, confidence, daynight, satelite, ano, mes, dia FROM fx_det""")
 def present_columns(t):
     return detections.keep_columns(t.detections, ("event_id", *k.DETECTION_COLUMNS))

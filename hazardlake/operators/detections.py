@@ -43,7 +43,7 @@ def per_month(df: DataFrame) -> DataFrame:
 
 def year_month_matrix(df: DataFrame) -> DataFrame:
     """One row per year, one count column per month label, zero where nothing was seen."""
-    counts = df.groupBy("ano").pivot("mes", MONTHS).agg(F.count("*"))
+    counts = df.groupBy("ano").pivot("mes", MONTHS).agg(F.count(F.lit(1)))
     return counts.select("ano", *[
         F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(k.MONTH_LABELS[m - 1]) for m in MONTHS])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
@@ -194,13 +193,13 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     if len(present) < 3:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
     pairs = [(b, a) for a, b in combinations(present, 2)]
-    both = {p: F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull() for p in pairs}
 
     def coefficient(a: str, b: str) -> Column:
-        varies = reduce(Column.__and__, (
-            F.min(F.when(both[(a, b)], F.col(c))) < F.max(F.when(both[(a, b)], F.col(c))) for c in (a, b)))
-        r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-        return F.when(varies, r)
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        # moments over the rows where both are present, as the covariance takes them
+        spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+        varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+        return F.when(varies, F.try_divide(F.covar_pop(x, y), spread))
 
     packed = df.agg(F.array(*[
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), coefficient(a, b).alias("r"))
