@@ -34,15 +34,14 @@ def every_sql(aggregate: str, value: str) -> str:
 
 @query("ts_02", every_sql("round(avg(success_percent), 6)", "success_percent"))
 def interval_mean(t):
-    return ts.every(points(t), "6 hours", "success_percent", F.avg, ["source"])
+    return ts.every(points(t), "6 hours", {"success_percent": F.avg}, ["source"])
 
 
 @query("ts_03", """SELECT time_bucket(INTERVAL 6 HOURS, _time) + INTERVAL 6 HOURS AS _time, source,
  CAST(sum(total_rows) AS BIGINT) AS total_rows, CAST(sum(failed_expectations) AS BIGINT) AS failed_expectations
 FROM fx_quality GROUP BY 1, 2""")
 def interval_sum(t):
-    rows, failures = (ts.every(points(t), "6 hours", f, F.sum, ["source"]) for f in ("total_rows", "failed_expectations"))
-    return rows.join(failures, ["_time", "source"])
+    return ts.every(points(t), "6 hours", {"total_rows": F.sum, "failed_expectations": F.sum}, ["source"])
 
 
 WIDE = "SELECT _time, source, " + ", ".join(f"round(CAST({f} AS DOUBLE), 6) AS {f}" for f in FIELDS) + " FROM fx_quality"

@@ -87,7 +87,7 @@ def within_retention(readings: DataFrame, written_at: str, as_of: Column,
 
 
 def sorted_years(df: DataFrame) -> DataFrame:
-    return df.agg(F.array_sort(F.collect_set("ano")).alias("anos"))
+    return df.select("ano").distinct().agg(F.array_sort(F.collect_list("ano")).alias("anos"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

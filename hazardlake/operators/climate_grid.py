@@ -84,21 +84,34 @@ def temperature_map_matrix(points: DataFrame, longitudes) -> DataFrame:
 
 
 def profile(points: DataFrame) -> DataFrame:
-    """Headline figures of the point table in a single pass."""
-    rows = F.count("*")
-    risky = F.count_if("risco_alto")
-    return points.agg(
+    """Headline figures of the point table in a single pass.
+
+    Totals per (point, year) come first, as a plain hash aggregate over the rows; distinct
+    points and years are counted on its result, which does not grow with the instants.
+    """
+    averaged = ("temp_c", "rh", "wind_speed_kmh")
+    cells = points.groupBy("latitude", "longitude", "ano").agg(
+        F.count("*").alias("n"), F.count_if("risco_alto").alias("risky"),
+        F.min("time").alias("first"), F.max("time").alias("last"),
+        F.min("temp_c").alias("coldest"), F.max("temp_c").alias("hottest"),
+        F.max("wind_speed_kmh").alias("windiest"),
+        *[F.sum(c).alias(f"sum_{c}") for c in averaged], *[F.count(c).alias(f"n_{c}") for c in averaged])
+
+    def mean(c: str):
+        return F.round(F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")), 1)
+
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    risky = F.coalesce(F.sum("risky"), F.lit(0))
+    return cells.agg(
         rows.alias("n_registos"),
         F.count_distinct("latitude", "longitude").alias("n_pts_grid"),
-        F.date_format(F.min("time"), "yyyy-MM-dd").alias("periodo_ini"),
-        F.date_format(F.max("time"), "yyyy-MM-dd").alias("periodo_fim"),
+        F.date_format(F.min("first"), "yyyy-MM-dd").alias("periodo_ini"),
+        F.date_format(F.max("last"), "yyyy-MM-dd").alias("periodo_fim"),
         F.array_join(F.array_sort(F.collect_set("ano")).cast("array<string>"), ",").alias("anos"),
-        F.round(F.avg("temp_c"), 1).alias("temp_media"),
-        F.round(F.max("temp_c"), 1).alias("temp_max"),
-        F.round(F.min("temp_c"), 1).alias("temp_min"),
-        F.round(F.avg("rh"), 1).alias("rh_media"),
-        F.round(F.avg("wind_speed_kmh"), 1).alias("vento_medio"),
-        F.round(F.max("wind_speed_kmh"), 1).alias("vento_max"),
+        mean("temp_c").alias("temp_media"),
+        F.round(F.max("hottest"), 1).alias("temp_max"), F.round(F.min("coldest"), 1).alias("temp_min"),
+        mean("rh").alias("rh_media"), mean("wind_speed_kmh").alias("vento_medio"),
+        F.round(F.max("windiest"), 1).alias("vento_max"),
         risky.alias("obs_risco"),
         F.round(risky * 100.0 / F.greatest(rows, F.lit(1)), 2).alias("pct_risco"),
     )

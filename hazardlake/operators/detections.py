@@ -128,20 +128,28 @@ def frp_outliers(df: DataFrame) -> DataFrame:
 # --- single figures -------------------------------------------------------------------------
 
 def profile(raw: DataFrame) -> DataFrame:
-    """Row counts inside and outside the country, period, years and satellites, in one pass."""
-    inside = inside_box(F.col("latitude"), F.col("longitude"))
+    """Row counts inside and outside the country, period, years and satellites, in one pass.
 
-    def kept(name: str):
-        return F.when(inside, F.col(name))
-
-    return raw.agg(
-        F.count("*").alias("total_raw"),
-        F.count_if(inside).alias("total_pt"),
-        F.count_if(outside_box(F.col("latitude"), F.col("longitude"))).alias("fora_bbox"),
-        F.min(kept("acq_date")).alias("periodo_ini"),
-        F.max(kept("acq_date")).alias("periodo_fim"),
-        F.array_join(F.array_sort(F.collect_set(kept("ano"))).cast("array<string>"), ",").alias("anos"),
-        F.array_join(F.array_sort(F.collect_set(kept("satelite"))), ",").alias("satelites"),
+    Counting per (year, satellite) first keeps the pass over the rows a plain hash
+    aggregate; the sets are collected from its few result rows.
+    """
+    inside = inside_box(F.col("latitude"), F.col("longitude"))
+    parts = raw.groupBy("ano", "satelite").agg(
+        F.count("*").alias("raw"), F.count_if(inside).alias("kept"),
+        F.count_if(outside_box(F.col("latitude"), F.col("longitude"))).alias("outside"),
+        F.min(F.when(inside, F.col("acq_date"))).alias("first"),
+        F.max(F.when(inside, F.col("acq_date"))).alias("last"))
+
+    def seen(name: str):
+        values = F.array_sort(F.collect_set(F.when(F.col("kept") > 0, F.col(name))))
+        return F.array_join(values.cast("array<string>"), ",")
+
+    return parts.agg(
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("total_raw"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("total_pt"),
+        F.coalesce(F.sum("outside"), F.lit(0)).alias("fora_bbox"),
+        F.min("first").alias("periodo_ini"), F.max("last").alias("periodo_fim"),
+        seen("ano").alias("anos"), seen("satelite").alias("satelites"),
         F.lit(len(raw.columns)).alias("colunas"),
     )
 

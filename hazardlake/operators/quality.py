@@ -47,16 +47,20 @@ def expectation_results(df: DataFrame, suite=k.LIVE_SUITE, by: tuple[str, ...] =
     )
 
 
-def suite_statistics(df: DataFrame, suite=k.LIVE_SUITE, by: tuple[str, ...] = ()) -> DataFrame:
-    """Percentage of expectations passed, passed, failed and row count per batch."""
+def suite_statistics(df: DataFrame, suite=k.LIVE_SUITE, by: tuple[str, ...] = (),
+                     **extra: Column) -> DataFrame:
+    """Percentage of expectations passed, passed, failed and row count per batch.
+
+    ``extra`` names further aggregates of the same pass.
+    """
     checks = _expectations(suite)
     counts = df.groupBy(*by).agg(
-        F.count("*").alias("total_rows"),
+        F.count("*").alias("total_rows"), *[column.alias(name) for name, column in extra.items()],
         *[unexpected.alias(f"bad_{i}") for i, (_, _, unexpected) in enumerate(checks)],
     )
     passed = sum(((F.col(f"bad_{i}") == 0).cast("bigint") for i in range(len(checks))), F.lit(0))
     return counts.select(
-        *by,
+        *by, *extra,
         (passed * 100.0 / len(checks)).alias("success_percent"),
         passed.alias("successful_expectations"),
         (len(checks) - passed).alias("failed_expectations"),
@@ -179,12 +183,7 @@ def as_messages(records: DataFrame, key: str | None = None) -> DataFrame:
 def quality_points(df: DataFrame, time: str, source: str = "sensor_readings",
                    by: tuple[str, ...] = (), suite=k.LIVE_SUITE) -> DataFrame:
     """``data_quality`` points: suite statistics per batch, stamped with its newest event."""
-    newest = F.max(time).alias("_time")
-    stats = suite_statistics(df, suite, by)
-    if by:
-        stats = stats.join(df.groupBy(*by).agg(newest), list(by))
-    else:
-        stats = stats.withColumn("_time", df.agg(newest).scalar())
+    stats = suite_statistics(df, suite, by, _time=F.max(time))
     return stats.select(*by, "_time", F.lit(source).alias("source"), "success_percent",
                         "successful_expectations", "failed_expectations", "total_rows")
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from hazardlake.operators.sizing import fits_one_task
 
-# The bracketing sketch has a rank error of 1 / SKETCH_ACCURACY per group.
+# The bracketing sketch has a rank error of 1 / SKETCH_ACCURACY per group; brackets reach
+# four times as far to either side of a wanted rank.
 SKETCH_ACCURACY = 2000
-BRACKET_BINS = 4096
+BINS = 64
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -21,95 +22,80 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 # --- quantiles --------------------------------------------------------------------------
 
-def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None,
-              exact_in_one_task: bool | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (per group), one column per entry.
 
-    ``percentile`` keeps every distinct value of a group in one buffer, so it is used only
-    below a size bound. Above it the ranks are located by :func:`_distributed_quantiles`.
-
-    ``by`` must take values of a short fixed list (chart categories, column names): the
-    distributed plan broadcasts one row per group.
-    """
-    column = F.col(value) if isinstance(value, str) else value
-    group = [F.col(by).alias("_g")] if by else [F.lit(0).alias("_g")]
-    values = df.select(*group, column.cast("double").alias("_v")).filter("_v IS NOT NULL")
-    if exact_in_one_task is None:
-        exact_in_one_task = fits_one_task(values)
-    if exact_in_one_task:
-        packed = F.percentile("_v", list(probs.values())).alias("_q")
-        result = (values.groupBy("_g") if by else values).agg(packed).select(
-            *(["_g"] if by else []), *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-    else:
-        result = _distributed_quantiles(values, probs, grouped=by is not None)
-    return result.withColumnRenamed("_g", by) if by else result.select(*probs)
-
-
-def _distributed_quantiles(values: DataFrame, probs: dict[str, float], grouped: bool) -> DataFrame:
-    """Quantiles of ``_v`` per ``_g`` in two passes over the input.
-
-    Pass 1 brackets each wanted rank with a small mergeable sketch and counts the rows.
-    Pass 2 counts the rows below each bracket and, per distinct value, the rows inside it;
-    both counts combine before the shuffle, and values outside all brackets are dropped
-    there. What is left is a sliver of the distinct values, cut into bins per bracket; only
-    the bins that hold a wanted rank are put in order. A bracket that misses its rank
-    raises instead of returning a wrong value.
+    Missing values (null or NaN) do not count. ``by`` must take values of a short fixed
+    list (chart categories, column names), since one row per group is broadcast.
+
+    Spark's ``percentile`` keeps every distinct value of a group in one buffer, which a large
+    group outgrows, so ranks are located in two passes over the input instead. Pass 1
+    brackets each wanted rank with a small mergeable sketch and counts the rows. Pass 2
+    counts the rows below each bracket and, per distinct value, the rows inside it; both
+    counts combine before the shuffle, and values above the bracket are dropped there.
+    What is left is a sliver of the distinct values. A second sketch cuts it into bins of
+    about equally many, whatever their spacing, and only the bins that hold a wanted rank
+    are put in order. A bracket that misses its rank raises instead of returning a wrong
+    value.
     """
-    names, margin = list(probs), 2.0 / SKETCH_ACCURACY
-    edges = [min(1.0, max(0.0, p + side * margin)) for p in probs.values() for side in (-1, 1)]
-    brackets = values.groupBy("_g").agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, SKETCH_ACCURACY).alias("_e"),
-    ).select("_g", F.array(*[
+    column = (F.col(value) if isinstance(value, str) else value).cast("double")
+    group = F.col(by) if by else F.lit(0)
+    values = df.select(group.alias("_g"), column.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
+    hits = _in_brackets(values, list(probs.values()), grouped=by is not None)
+    # all values below a bracket count as one
+    counted = hits.groupBy("_g", "i", "rank", F.expr("CASE WHEN _v >= lo THEN _v END").alias("v")).agg(
+        F.count("*").alias("c"))
+    shares = ", ".join(str(n / BINS) for n in range(1, BINS))
+    cuts = counted.groupBy("_g", "i").agg(
+        F.expr(f"percentile_approx(v, array({shares}), {SKETCH_ACCURACY})").alias("cuts"))
+    # one row per group and quantile
+    binned = counted.join(F.broadcast(cuts), ["_g", "i"]).select(
+        "_g", "i", "rank", "v", "c",
+        F.expr("CASE WHEN v IS NULL THEN -1 ELSE size(filter(cuts, cut -> cut <= v)) END").alias("bin"))
+    # at most BINS + 1 rows per group and quantile
+    bins = binned.groupBy("_g", "i", "rank", "bin").agg(F.sum("c").alias("c")).select(
+        "_g", "i", "rank", "bin", "c", _total_before("_g", "i", order="bin").alias("start"))
+    wanted = bins.filter("start <= ceil(rank) AND start + c > floor(rank)").select("_g", "i", "bin", "start")
+    placed = binned.join(wanted, ["_g", "i", "bin"]).select(
+        "_g", "i", "rank", "v", "c", (F.col("start") + _total_before("_g", "i", "bin", order="v")).alias("at"))
+    found = placed.groupBy("_g", "i", "rank").agg(
+        F.expr("max(CASE WHEN at <= floor(rank) AND at + c > floor(rank) THEN v END)").alias("low"),
+        F.expr("max(CASE WHEN at <= ceil(rank) AND at + c > ceil(rank) THEN v END)").alias("high"))
+    interpolated = F.expr("low + (high - low) * (rank - floor(rank))")
+    checked = F.when(interpolated.isNull(), F.raise_error(F.lit("a quantile lies outside its bracket")))
+    result = found.groupBy("_g").agg(*[
+        F.max(F.when(F.col("i") == i, checked.otherwise(interpolated))).alias(name)
+        for i, name in enumerate(probs)])
+    return result.withColumnRenamed("_g", by) if by else result.drop("_g")
+
+
+def _in_brackets(values: DataFrame, probs: list[float], grouped: bool) -> DataFrame:
+    """Each value once per quantile whose bracket it does not exceed, with rank and lower edge."""
+    margin = 4.0 / SKETCH_ACCURACY
+    sides = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
+    edges = values.groupBy("_g").agg(
+        F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"),
+        F.percentile_approx("_v", sides, SKETCH_ACCURACY).alias("e"))
+    # among few values the two ranks to interpolate between are far apart in share of rows
+    few = F.col("n") < 2 * SKETCH_ACCURACY
+    targets = edges.select("_g", F.array(*[
         F.struct(
             F.lit(i).alias("i"),
-            (F.col("_min") if edges[2 * i] == 0.0 else F.col("_e")[2 * i]).alias("lo"),
-            (F.col("_max") if edges[2 * i + 1] == 1.0 else F.col("_e")[2 * i + 1]).alias("hi"),
-            (F.lit(p) * (F.col("_n") - 1)).alias("rank"),
-        ) for i, p in enumerate(probs.values())
-    ]).alias("_targets"))
-
+            F.when(few | (sides[2 * i] == 0.0), F.col("least")).otherwise(F.col("e")[2 * i]).alias("lo"),
+            F.when(few | (sides[2 * i + 1] == 1.0), F.col("most")).otherwise(F.col("e")[2 * i + 1]).alias("hi"),
+            (p * (F.col("n") - 1)).alias("rank"),
+        ) for i, p in enumerate(probs)]).alias("targets"))
     if grouped:
-        bracketed = values.join(F.broadcast(brackets), "_g")
+        bracketed = values.join(F.broadcast(targets), "_g")
     else:
-        bracketed = values.withColumn("_targets", brackets.select("_targets").scalar())
-    hits = bracketed.select(
-        "_g", "_v", F.explode(F.filter("_targets", lambda t: F.col("_v") <= t["hi"])).alias("t"))
-    below = F.col("_v") < F.col("t.lo")
-    width = (F.col("t.hi") - F.col("t.lo")) / BRACKET_BINS
-    slot = F.when(width > 0, F.least(F.lit(BRACKET_BINS - 1), F.floor((F.col("_v") - F.col("t.lo")) / width)))
-    counted = hits.groupBy(
-        "_g", F.col("t.i").alias("i"), F.col("t.rank").alias("rank"),
-        F.when(below, -1).otherwise(F.coalesce(slot, F.lit(0))).cast("int").alias("bin"),
-        F.when(~below, F.col("_v")).alias("v"),
-    ).agg(F.count("*").alias("c"))
-
-    def before(*partition: str):
-        return Window.partitionBy(*partition).rowsBetween(Window.unboundedPreceding, -1)
-
-    # at most BRACKET_BINS + 1 rows per group and quantile
-    bins = counted.groupBy("_g", "i", "rank", "bin").agg(F.sum("c").alias("c")).withColumn(
-        "start", F.coalesce(F.sum("c").over(before("_g", "i").orderBy("bin")), F.lit(0)))
-    low, high = F.floor("rank"), F.ceil("rank")
-    wanted = bins.filter((F.col("start") <= high) & (F.col("start") + F.col("c") > low) & (F.col("bin") >= 0))
-    placed = counted.drop("rank").join(
-        wanted.select("_g", "i", "bin", "rank", "start"), ["_g", "i", "bin"]
-    ).withColumn("at", F.col("start") + F.coalesce(
-        F.sum("c").over(before("_g", "i", "bin").orderBy("v")), F.lit(0)))
-
-    def value_at(position: Column) -> Column:
-        return F.max(F.when((F.col("at") <= position) & (F.col("at") + F.col("c") > position), F.col("v")))
+        bracketed = values.withColumn("targets", targets.select("targets").scalar())
+    return bracketed.select("_g", "_v", F.inline("targets")).filter("_v <= hi")
 
-    found = placed.groupBy("_g", "i", "rank").agg(
-        value_at(low).alias("low"), value_at(high).alias("high")
-    ).select("_g", "i", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("rank") - low)).alias("q"))
-    pivoted = found.groupBy("_g").agg(*[
-        F.max(F.when(F.col("i") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
-    checked = [
-        F.when(F.col(n).isNull(), F.raise_error(F.lit(f"rank of quantile {n} outside its bracket")))
-        .otherwise(F.col(n)).alias(n) for n in names
-    ]
-    return pivoted.select("_g", *checked)
+
+def _total_before(*partition: str, order: str) -> Column:
+    """Sum of the counts ``c`` of the rows before this one."""
+    rows = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("c").over(rows), F.lit(0))
 
 
 def clip_upper(df: DataFrame, value: str, prob: float = 0.99, name: str | None = None) -> DataFrame:

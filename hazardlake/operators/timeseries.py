@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -27,13 +29,14 @@ def last(long: DataFrame, tags: list[str]) -> DataFrame:
             .select(*tags, "_field", "p._time", "p._value"))
 
 
-def every(points: DataFrame, interval: str, value: str, how, tags: list[str]) -> DataFrame:
-    """Aggregate per fixed interval and series, labelled with the interval's end.
+def every(points: DataFrame, interval: str, how: dict[str, Callable], tags: list[str]) -> DataFrame:
+    """Aggregate fields per fixed interval and series, labelled with the interval's end.
 
     Intervals without points are left out.
     """
-    return (points.groupBy(F.window("_time", interval), *tags).agg(how(value).alias(value))
-            .select(F.col("window.end").alias("_time"), *tags, value))
+    return (points.groupBy(F.window("_time", interval), *tags)
+            .agg(*[f(value).alias(value) for value, f in how.items()])
+            .select(F.col("window.end").alias("_time"), *tags, *how))
 
 
 def fields_to_columns(long: DataFrame, tags: list[str], fields: list[str]) -> DataFrame:
@@ -53,7 +56,7 @@ def latency_summary(points: DataFrame) -> DataFrame:
 def latency_by_topic(points: DataFrame, interval: str) -> DataFrame:
     """Interval means per topic and zone. Grouping by topic only reorders them, so the rows
     of a topic are kept together by a range partition instead of one global sort task."""
-    means = every(points, interval, "latency_ms", F.avg, ["topic", "grid_id"])
+    means = every(points, interval, {"latency_ms": F.avg}, ["topic", "grid_id"])
     return means.repartitionByRange("topic", "_time", "grid_id").sortWithinPartitions(
         "topic", "_time", "grid_id")
 

@@ -13,9 +13,13 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Partitions of rebalanced writes aim at this size: smaller ones are merged, larger ones split.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Window state grows with zones x open windows, so it is kept off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each batch then uploads its changes instead of whole state files.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -32,9 +36,9 @@ def build_session(app_name: str = "hazardlake", master: str | None = None,
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on when the session was built by someone else."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   SETTINGS["spark.sql.streaming.stateStore.providerClass"])
+    for key, value in SETTINGS.items():
+        if key == "spark.sql.session.timeZone" or key.startswith("spark.sql.streaming."):
+            spark.conf.set(key, value)
     return spark
 
 

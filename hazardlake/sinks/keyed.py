@@ -30,7 +30,7 @@ def append_versions(rows: DataFrame, path: str, batch_id: int, time: str = "even
     (
         rows.withColumns({"dia_evento": F.to_date(time), "batch_id": F.lit(int(batch_id)).cast("bigint")})
         .hint("rebalance", "dia_evento")
-        .sortWithinPartitions("dia_evento", "grid_id", F.desc(time))
+        .sortWithinPartitions("dia_evento", "batch_id", "grid_id", F.desc(time))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dia_evento", "batch_id").parquet(path)
     )
@@ -53,7 +53,7 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     """Write the current rows to a new location as a single version per day."""
     (
         read_latest(spark, path).hint("rebalance", "dia_evento")
-        .sortWithinPartitions("dia_evento", "grid_id", F.desc("event_time"))
+        .sortWithinPartitions("dia_evento", "batch_id", "grid_id", F.desc("event_time"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dia_evento", "batch_id").parquet(target)
     )
