@@ -75,9 +75,9 @@ def satellite_share(df: DataFrame) -> DataFrame:
     )
 
 
-def frp_year_satellite(df: DataFrame) -> DataFrame:
-    """Mean FRP with one row per year and one column per satellite; gaps stay null."""
-    return df.groupBy("ano").pivot("satelite", SATELLITES).agg(F.avg("frp"))
+def frp_year_satellite(df: DataFrame, satellites=SATELLITES) -> DataFrame:
+    """Mean FRP with one row per year and one column per listed satellite; gaps stay null."""
+    return df.groupBy("ano").pivot("satelite", list(satellites)).agg(F.avg("frp"))
 
 
 def density(df: DataFrame, decimals: int = 2) -> DataFrame:

@@ -143,16 +143,16 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
         F.struct(F.lit(c).alias("variable"), F.min(c).cast("double").alias("lo"),
                  F.max(c).cast("double").alias("hi")) for c in names
     ]).alias("_limits"))
-    flat = F.col("l.lo") == F.col("l.hi")
-    ranges = limits.select(F.explode("_limits").alias("l")).select(
-        "l.variable",
-        F.when(flat, F.col("l.lo") - 0.5).otherwise(F.col("l.lo")).alias("lo"),
-        F.when(flat, F.col("l.hi") + 0.5).otherwise(F.col("l.hi")).alias("hi"),
+    flat = F.col("lo") == F.col("hi")
+    ranges = limits.select(F.inline("_limits")).select(
+        "variable",
+        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     ).filter("lo IS NOT NULL")
     # one row per column of the request
-    long = df.select(F.explode(F.array(*[
+    long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in names
-    ])).alias("x")).select("x.*").filter("v IS NOT NULL").join(F.broadcast(ranges), "variable")
+    ]))).filter("v IS NOT NULL").join(F.broadcast(ranges), "variable")
     position = F.least(
         F.lit(bins - 1),
         F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)).cast("int")
@@ -173,38 +173,38 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
 def correlations(df: DataFrame, columns) -> DataFrame:
     """Lower triangle of the Pearson matrix over the present columns, in one pass.
 
-    Fewer than three columns give no rows. A pair without variance has no coefficient.
+    Each row counts for the pairs it has both values of. Fewer than three columns give no
+    rows, and a pair without variance has no coefficient.
     """
     present = [c for c in columns if c in df.columns]
-    if len(present) < 3:
-        return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
-    pairs = [(b, a) for a, b in combinations(present, 2)]
-
-    def coefficient(a: str, b: str) -> Column:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        # moments over the rows where both are present, as the covariance takes them
-        spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
-        varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
-        return F.when(varies, F.try_divide(F.covar_pop(x, y), spread))
-
-    packed = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), coefficient(a, b).alias("r"))
-        for a, b in pairs
-    ]).alias("pairs"))
-    return packed.select(F.explode("pairs").alias("p")).select("p.*")
+    names = [(b, a) for a, b in combinations(present, 2)] if len(present) >= 3 else []
+    pairs = df.sparkSession.createDataFrame(names, "column_a string, column_b string")
+    if not names:
+        return pairs.withColumn("r", F.lit(None).cast("double"))
+    cells = F.array(*[
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in names])
+    both = df.select(F.inline(cells)).filter("x IS NOT NULL AND y IS NOT NULL")
+    coefficients = both.groupBy("column_a", "column_b").agg(F.expr(
+        "CASE WHEN min(x) < max(x) AND min(y) < max(y) "
+        "THEN try_divide(covar_pop(x, y), sqrt(var_pop(x) * var_pop(y))) END").alias("r"))
+    # at most one row per pair on either side
+    return pairs.join(F.broadcast(coefficients), ["column_a", "column_b"], "left")
 
 
 def describe(df: DataFrame, columns, decimals: int = 2) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of each column."""
     names = [c for c in columns if c in df.columns]
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in names
-    ])).alias("x")).select("x.*").filter("v IS NOT NULL")
-    moments = long.groupBy("variable").agg(
-        F.count("*").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    moments = numbers.agg(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.count(c).alias("count"), F.avg(c).alias("mean"),
+                 F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+        for c in names]).alias("m")).select(F.inline("m"))
+    long = numbers.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).alias("v")) for c in names])))
     quartiles = quantiles(long, "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by="variable")
-    return moments.join(quartiles, "variable").select(
+    return moments.join(F.broadcast(quartiles), "variable", "left").select(
         "variable", "count",
         *[F.round(c, decimals).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 

@@ -38,15 +38,25 @@ def append_versions(rows: DataFrame, path: str, batch_id: int, time: str = "even
 
 def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",),
                 as_of: Column | None = None, hours: int = k.RETENTION_HOURS) -> DataFrame:
-    """Current rows of a keyed table, without those past their lifetime when ``as_of`` is given."""
-    current = latest_per_key(spark.read.parquet(path), order=order)
-    return current if as_of is None else within_retention(current, "written_at", as_of, hours)
+    """Current rows of a keyed table, without those past their lifetime when ``as_of`` is given.
+
+    Later versions are written later, so a key whose last version has expired has only
+    expired ones: the lifetime can be checked on the scan, where it skips old files.
+    """
+    versions = spark.read.parquet(path)
+    if as_of is not None:
+        versions = within_retention(versions, "written_at", as_of, hours)
+    return latest_per_key(versions, order=order)
 
 
 def newest_first(readings: DataFrame) -> DataFrame:
-    """Rows of a key together, newest first, without a global sort."""
-    return (readings.repartition("grid_id", "hour_bucket")
-            .sortWithinPartitions("grid_id", "hour_bucket", F.desc("event_time")))
+    """Rows of a key together, newest first.
+
+    Range partitions follow the full order, so a zone and hour with very many rows is cut
+    into consecutive partitions instead of filling one.
+    """
+    order = ("grid_id", "hour_bucket", F.desc("event_time"))
+    return readings.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:

@@ -172,3 +172,27 @@ def test_validity_split(spark):
         "grid_id string, temp_celsius double, humidity_pct double, wind_kmh double, risk_score double"))
     good, bad = q.split(frame)
     assert good.count() == 1 and bad.count() == 1 and q.REASONS not in good.columns
+
+
+def test_expired_versions_are_left_out(spark):
+    path = new_folder(spark, "readings")
+    rows = spark.createDataFrame([("Z1", "b", START, 1.0), ("Z2", "b", START, 2.0)],
+                                 "grid_id string, hour_bucket string, event_time timestamp, risk_score double")
+    keyed.append_versions(rows.withColumn("written_at", F.lit(START)), path, 0)
+    renewed = rows.filter("grid_id = 'Z2'").withColumn("written_at", F.lit(START + dt.timedelta(hours=10)))
+    keyed.append_versions(renewed, path, 1)
+    as_of = F.lit(START + dt.timedelta(hours=75))
+    assert [r.grid_id for r in keyed.read_latest(spark, path, as_of=as_of).collect()] == ["Z2"]
+
+
+def test_newest_first_splits_a_hot_key_in_order(spark):
+    rows = spark.range(20_000).select(
+        F.lit("Z1").alias("grid_id"), F.lit("h").alias("hour_bucket"), F.timestamp_seconds("id").alias("event_time"))
+    # few rows would be merged into one partition otherwise
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = keyed.newest_first(rows).withColumn("part", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ordered.part.nunique() > 1
+    assert ordered.event_time.is_monotonic_decreasing
