@@ -42,7 +42,8 @@ def main() -> None:
     print(json.dumps({
         "metric": "headline queries, total of medians", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
-    }))
+    }), flush=True)
+    spark.stop()
 
 
 if __name__ == "__main__":

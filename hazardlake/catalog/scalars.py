@@ -188,7 +188,7 @@ def detection_rows(t):
 @query("prj_12", "SELECT event_id, frp = 0 AS suspicious FROM (SELECT event_id, CASE WHEN confidence = 'l' THEN 0 ELSE frp END AS frp FROM fx_hotspot)")
 def zero_intensity(t):
     frp = F.when(F.col("confidence") == "l", 0.0).otherwise(F.col("frp"))
-    return t.hotspot.select("event_id", (frp == 0).alias("suspicious"))
+    return t.hotspot.select("event_id", values.zero_intensity(frp).alias("suspicious"))
 
 
 @query("prj_13", "SELECT event_id, round(coalesce(temp_celsius, 0.0), 6) AS temp_celsius, coalesce(nullif(source, 'ipma_real'), 'iot_simulator_v1') AS source FROM fx_sensor")

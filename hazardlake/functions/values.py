@@ -26,6 +26,11 @@ def unknown_zone(grid_id: Column) -> Column:
     return grid_id.isNull() | grid_id.isin(*k.UNKNOWN_ZONES)
 
 
+def zero_intensity(frp: Column) -> Column:
+    """Valid but suspicious: a detection without radiative power."""
+    return frp == 0
+
+
 def _contains_any(text: Column, words) -> Column:
     return reduce(Column.__or__, (text.contains(word) for word in words))
 

@@ -25,8 +25,10 @@ def files(spark: SparkSession, path: str, dataset: str, pattern: str = "*.parque
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern).load(path)
     )
-    return listing.select(F.lit(dataset).alias("dataset"), "path", "length",
-                          F.col("modificationTime").alias("modified"))
+    # the source plans about one task per large file, far more than listing them needs
+    return listing.select(
+        F.lit(dataset).alias("dataset"), "path", "length", F.col("modificationTime").alias("modified"),
+    ).coalesce(spark.sparkContext.defaultParallelism)
 
 
 def partition_value(column: str) -> Column:
