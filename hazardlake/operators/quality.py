@@ -222,16 +222,19 @@ def running_totals(per_batch: DataFrame, group: str, order: str, counters: tuple
     blocks before it. A group with a third of all batches is spread over its blocks, and
     the only per-group window sees one row per block.
     """
-    blocked = per_batch.withColumn("_block", F.floor(F.col(order) / block))
+    # both key parts are free of nulls or compared null-safely, so no filter is inferred for
+    # one side only and the two uses of the counts share one shuffle
+    blocked = per_batch.withColumn("_block", F.coalesce(F.floor(F.col(order) / block), F.lit(-1)))
     earlier = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocked.groupBy(group, "_block").agg(*[F.sum(c).alias(f"_{c}") for c in counters])
-        .select(group, "_block",
+        .select(F.col(group).alias("_group"), F.col("_block").alias("_of"),
                 *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in counters])
     )
     inside = (Window.partitionBy(group, "_block").orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return blocked.join(offsets, [group, "_block"]).select(
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_block") == F.col("_of"))
+    return blocked.join(offsets, same).select(
         group, order,
         *[(F.sum(c).over(inside) + F.col(f"_{c}")).alias(f"total_{c}") for c in counters],
     )

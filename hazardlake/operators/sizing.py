@@ -12,7 +12,7 @@ ONE_TASK_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, or None where the plan cannot be asked."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 

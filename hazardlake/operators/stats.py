@@ -22,14 +22,16 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 # --- quantiles --------------------------------------------------------------------------
 
-def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None,
+              one_pass: bool | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (per group), one column per entry.
 
     Missing values (null or NaN) do not count. ``by`` must take values of a short fixed
     list (chart categories, column names), since one row per group is broadcast.
 
-    Spark's ``percentile`` keeps every distinct value of a group in one buffer, which a large
-    group outgrows, so ranks are located in two passes over the input instead. Pass 1
+    Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is used
+    where the whole input is below a size bound; a large group would outgrow the buffer,
+    so there the ranks are located in two passes over the input instead. Pass 1
     brackets each wanted rank with a small mergeable sketch and counts the rows. Pass 2
     counts the rows below each bracket and, per distinct value, the rows inside it; both
     counts combine before the shuffle, and values above the bracket are dropped there.
@@ -41,6 +43,11 @@ def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: s
     column = (F.col(value) if isinstance(value, str) else value).cast("double")
     group = F.col(by) if by else F.lit(0)
     values = df.select(group.alias("_g"), column.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
+    if fits_one_task(values) if one_pass is None else one_pass:
+        shares = ", ".join(map(str, probs.values()))
+        found = values.groupBy("_g").agg(F.expr(f"percentile(_v, array({shares}))").alias("q"))
+        return found.select(*([F.col("_g").alias(by)] if by else []),
+                            *[F.col("q")[i].alias(name) for i, name in enumerate(probs)])
     hits = _in_brackets(values, list(probs.values()), grouped=by is not None)
     # all values below a bracket count as one
     counted = hits.groupBy("_g", "i", "rank", F.expr("CASE WHEN _v >= lo THEN _v END").alias("v")).agg(
@@ -138,34 +145,43 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
 
     The maximum falls in the last bin; a constant column gets a range of one around it.
     """
-    names = list(columns)
     limits = df.agg(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.min(c).cast("double").alias("lo"),
-                 F.max(c).cast("double").alias("hi")) for c in names
-    ]).alias("_limits"))
-    flat = F.col("lo") == F.col("hi")
-    ranges = limits.select(F.inline("_limits")).select(
-        "variable",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    ).filter("lo IS NOT NULL")
+                 F.max(c).cast("double").alias("hi")) for c in columns
+    ]).alias("limits")).select(F.inline("limits"))
     # one row per column of the request
     long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in names
-    ]))).filter("v IS NOT NULL").join(F.broadcast(ranges), "variable")
-    position = F.least(
-        F.lit(bins - 1),
-        F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)).cast("int")
-    counts = long.groupBy("variable", position.alias("bin")).agg(F.count("*").alias("n"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    grid = ranges.select(
-        "variable", "lo", width.alias("width"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(counts, ["variable", "bin"], "left").select(
-        "variable", "bin",
-        (F.col("lo") + F.col("width") * F.col("bin")).alias("lower"),
-        (F.col("lo") + F.col("width") * (F.col("bin") + 1)).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in columns])))
+    return bars(long, limits, bins)
+
+
+def bars(long: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
+    """Bin counts of ``v`` per ``variable`` within limits ``lo`` and ``hi``.
+
+    ``limits`` has one row per variable, with any further columns to carry along. Values
+    above the upper limit count in the last bin, as if clipped.
+    """
+    flat = F.col("lo") == F.col("hi")
+    carried = [c for c in limits.columns if c not in ("variable", "lo", "hi")]
+    ranges = limits.filter("lo IS NOT NULL").select(
+        "variable", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"), *carried)
+    position = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    counts = (
+        long.filter("v IS NOT NULL").join(F.broadcast(ranges), "variable")
+        .groupBy("variable", "lo", "hi", *carried, F.least(F.lit(bins - 1), position).cast("int").alias("bin"))
+        .agg(F.count("*").alias("n"))
     )
+    # at most one entry per bin
+    per_variable = counts.groupBy("variable", "lo", "hi", *carried).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("filled"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    return per_variable.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    ).select(
+        "variable", "bin", (F.col("lo") + width * F.col("bin")).alias("lower"),
+        (F.col("lo") + width * (F.col("bin") + 1)).alias("upper"),
+        F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0)).alias("n"), *carried)
 
 
 # --- whole-table profiles ---------------------------------------------------------------------

@@ -8,14 +8,14 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from hazardlake.operators import stats
+from hazardlake.operators import sizing, stats
 
 PROBS = {"q01": 0.01, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99}
 
 
-def check_quantiles(spark, values, partitions=8):
+def check_quantiles(spark, values, partitions=8, one_pass=False):
     frame = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(partitions)
-    row = stats.quantiles(frame, "v", PROBS).collect()[0]
+    row = stats.quantiles(frame, "v", PROBS, one_pass=one_pass).collect()[0]
     wanted = np.quantile(np.asarray(values), list(PROBS.values()))
     assert np.allclose([row[n] for n in PROBS], wanted, rtol=1e-12, atol=1e-12)
 
@@ -39,11 +39,15 @@ def test_quantiles_match_brute_force(spark, name):
     check_quantiles(spark, distributions()[name])
 
 
+def test_one_pass_quantiles(spark):
+    check_quantiles(spark, distributions()["heavy tail"], one_pass=True)
+
+
 def test_quantiles_of_sorted_uneven_partitions(spark):
     ordered = spark.range(200_000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     frame = ordered.repartitionByRange(37, "v").unionAll(ordered.limit(50_000).coalesce(1))
     values = np.concatenate([np.arange(200_000.0) ** 2, np.arange(50_000.0) ** 2])
-    row = stats.quantiles(frame, "v", PROBS).collect()[0]
+    row = stats.quantiles(frame, "v", PROBS, one_pass=False).collect()[0]
     assert np.allclose([row[n] for n in PROBS], np.quantile(values, list(PROBS.values())))
 
 
@@ -53,16 +57,18 @@ def test_quantiles_of_small_lists(spark, values):
     check_quantiles(spark, values, partitions=3)
 
 
-def test_grouped_quantiles_skip_missing_values(spark):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_grouped_quantiles_skip_missing_values(spark, one_pass):
     frame = spark.createDataFrame(
         [("a", 1.0), ("a", 3.0), ("a", None), ("a", float("nan")), ("b", 7.0), ("c", None)], "g string, v double")
-    rows = {r.g: r.m for r in stats.quantiles(frame, "v", {"m": 0.5}, by="g").collect()}
+    rows = {r.g: r.m for r in stats.quantiles(frame, "v", {"m": 0.5}, by="g", one_pass=one_pass).collect()}
     assert rows == {"a": 2.0, "b": 7.0}
 
 
-def test_quantiles_of_nothing(spark):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_quantiles_of_nothing(spark, one_pass):
     empty = spark.createDataFrame([], "v double")
-    assert stats.quantiles(empty, "v", {"m": 0.5}).collect() == []
+    assert stats.quantiles(empty, "v", {"m": 0.5}, one_pass=one_pass).collect() == []
     assert stats.clip_upper(empty, "v").collect() == []
 
 
@@ -132,3 +138,10 @@ def test_null_profile(spark):
 def test_dense_months(spark):
     months = stats.dense_months(spark.createDataFrame([(2, 5)], "mes int, n bigint"), {"n": 0})
     assert [r.n for r in months.orderBy("mes").collect()] == [0, 5] + [0] * 10
+
+
+def test_size_estimate_decides_between_plans(spark):
+    small = spark.range(100)
+    assert sizing.fits_one_task(small)
+    assert not sizing.fits_one_task(small, limit=10)
+    assert not sizing.fits_one_task(spark.range(10**9))
