@@ -49,7 +49,10 @@ def topic(t, name: str, rows) -> str:
 
 
 def finish(frame, checkpoint: str, **options) -> None:
-    sq.start(frame, checkpoint, once=True, **options).awaitTermination()
+    """Run over the available input, with at most one state partition per core."""
+    spark = frame.sparkSession
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    sq.start(frame, checkpoint, once=True, state_partitions=partitions, **options).awaitTermination()
 
 
 def composite_frame(t):

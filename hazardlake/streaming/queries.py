@@ -19,8 +19,22 @@ from hazardlake.sources import streams
 
 def start(frame: DataFrame, checkpoint: str, mode: str = "append", once: bool = False,
           every: str = k.TRIGGER, sink: Callable[[DataFrame, int], None] | None = None,
-          path: str | None = None) -> StreamingQuery:
-    """Start a query with its own checkpoint: every 30 seconds, or over what is there now."""
+          path: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query with its own checkpoint: every 30 seconds, or over what is there now.
+
+    ``state_partitions`` is the number of shuffle and state partitions. It is fixed by the
+    first start of a checkpoint; by default the session's setting applies.
+    """
+    conf = frame.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    try:
+        return _start(frame, checkpoint, mode, once, every, sink, path)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _start(frame, checkpoint, mode, once, every, sink, path) -> StreamingQuery:
     writer = frame.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
     if sink is not None:

@@ -80,6 +80,22 @@ def test_composite_join_drops_late_rows_and_survives_restart(spark):
     assert second[START + dt.timedelta(minutes=35)].n_hotspots == 1
 
 
+def test_batch_windows_equal_direct_windows(spark):
+    events = spark.range(3_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("z"), F.col("id") % 5)).alias("grid_id"),
+        F.timestamp_seconds(F.col("id") * 37 - 20_000).alias("event_time"),
+        F.when(F.col("id") % 11 > 0, (F.col("id") % 100).cast("double")).alias("risk_score"),
+        (F.col("id") % 40).cast("double").alias("temp_celsius"), F.lit(None).cast("double").alias("humidity_pct"),
+        F.lit(1.0).alias("wind_kmh"))
+    for window, slide in (("10 minutes", "5 minutes"), ("1 hour", "10 minutes"), ("10 minutes", "4 minutes")):
+        direct = events.groupBy(F.window("event_time", window, slide), "grid_id").agg(*[m.direct() for m in w.SENSOR_MEASURES])
+        merged = w.sensor_windows(events, window, slide)
+        assert merged.columns == direct.columns
+        rounded = [frame.select("window.*", "grid_id", "n_leituras_sensor", F.round("risk_medio_sensor", 9), "risk_maximo_sensor",
+                                F.round("temp_media", 9), "humidade_media", "vento_medio") for frame in (merged, direct)]
+        assert rounded[0].exceptAll(rounded[1]).count() == 0 and rounded[1].exceptAll(rounded[0]).count() == 0
+
+
 def test_windows_without_matches_read_zero(spark):
     sensors = spark.createDataFrame([("Z1", START, 10.0, 20.0, 50.0, 5.0)], "grid_id string, event_time timestamp, "
                                     "risk_score double, temp_celsius double, humidity_pct double, wind_kmh double")
