@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazardlake import constants as k, schemas
-from hazardlake.functions.calendar import latency_ms, parse_instant
+from hazardlake.functions.calendar import latency_ms
 from hazardlake.functions.values import safe_double
 from hazardlake.operators import access, quality
 from hazardlake.operators.windows import composite
