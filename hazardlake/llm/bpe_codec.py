@@ -49,5 +49,5 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", full: bool
     """
     ship(docs.sparkSession)
     raw = Path(vocabulary).read_bytes()
-    udf = F.arrow_udf(_codec(raw, full), ENCODED if full else DIGESTS, F.ArrowUDFType.SCALAR_ITER)
+    udf = F.arrow_udf(_codec(raw, full), ENCODED if full else DIGESTS)
     return docs.select("*", udf(column(text_col)).alias("bpe"))

@@ -76,7 +76,7 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
 def _receive(owners: int):
     def receive(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(answers):
-            return pd.DataFrame({"sender": [], "marks": []})
+            return pd.DataFrame({"sender": pd.Series([], dtype="int32"), "marks": pd.Series([], dtype=object)})
         prints, place = np.unique(rows.print.to_numpy(), return_inverse=True)
         owner = (prints * owners) >> FINGERPRINT_BITS
         flagged = np.zeros(len(prints), bool)

@@ -97,7 +97,7 @@ def predict(docs: DataFrame, model: ecoc.Model, text_col: str = "text") -> DataF
     equal predictions; repeated rows and other columns pass through.
     """
     ship(docs.sparkSession)
-    udf = F.arrow_udf(_predict(model), "lang string, score double, ambiguous boolean", F.ArrowUDFType.SCALAR_ITER)
+    udf = F.arrow_udf(_predict(model), "lang string, score double, ambiguous boolean")
     return docs.select("*", udf(column(text_col)).alias("language"))
 
 

@@ -38,5 +38,5 @@ def counted(docs: DataFrame, pieces: tuple[tuple[str, float], ...], text_col: st
     the text begins. Null and empty texts have no tokens. Rows, ties and other columns pass through.
     """
     ship(docs.sparkSession)
-    udf = F.arrow_udf(_count(pieces), "n_tokens long, score double", F.ArrowUDFType.SCALAR_ITER)
+    udf = F.arrow_udf(_count(pieces), "n_tokens long, score double")
     return docs.select("*", udf(column(text_col)).alias("tokens"))
