@@ -99,3 +99,26 @@ def is_marked() -> Column:
 def with_marks(staged: DataFrame, marks: DataFrame, how: str = "inner") -> DataFrame:
     """Staged rows beside the marks of their sender; only the marks are shuffled."""
     return staged.join(marks.hint("shuffle_hash"), "sender", how)
+
+
+def carried(staged: DataFrame, found: DataFrame, fields: list[str]) -> DataFrame:
+    """The staged rows that ``found`` (sender, seq and bigint fields) names, with those fields.
+
+    Like marks, the fields travel as one row of arrays per sender, so staged rows stay where they
+    are. The entries of each 64 rows are found by their number of predecessors.
+    """
+    def collect(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("seq")
+        seqs = group.seq.to_numpy()
+        starts = np.searchsorted(seqs, np.arange(0, (int(seqs[-1]) // 64 + 2) * 64, 64)).astype(np.int32)
+        return pd.DataFrame({"sender": group.sender.iloc[:1], "_starts": [starts], "_seqs": [seqs],
+                             **{f"_{name}": [group[name].to_numpy()] for name in fields}})
+
+    lists = ", ".join(f"_{name} array<bigint>" for name in fields)
+    packed = found.groupBy("sender").applyInPandas(
+        collect, f"sender int, _starts array<int>, _seqs array<bigint>, {lists}")
+    word = F.expr("CAST(seq DIV 64 AS INT)")
+    low, high = F.get("_starts", word), F.get("_starts", word + 1)
+    place = F.array_position(F.slice("_seqs", low + 1, high - low), F.col("seq"))
+    rows = with_marks(staged, packed).withColumn("_place", low + place - 1).filter(place > 0)
+    return rows.select(*staged.columns, *[F.get(f"_{name}", F.col("_place").cast("int")).alias(name) for name in fields])

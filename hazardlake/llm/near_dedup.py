@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hazardlake.llm import minhash
 from hazardlake.llm.common import (
-    ROW_BITS, is_marked, marks_of, settle, ship, stage, unpacked, with_marks,
+    ROW_BITS, carried, is_marked, marks_of, settle, ship, stage, unpacked, with_marks,
 )
 from hazardlake.llm.graph import components
 
@@ -149,14 +149,15 @@ def _place(at: str):
 def _families(sketches: DataFrame, threshold: float, tolerance: float, representatives: DataFrame) -> DataFrame:
     """Candidate families of two texts or more: (node, root)."""
     entries = representatives.select("at", F.explode("sketch.bands").alias("key"))
+    # most buckets hold one text and end here
+    crowded = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = settle(entries.join(crowded.hint("merge"), "key"), "near-buckets")
     # a bucket is told by the number of its members and by sums over their hashes; of buckets with
     # the same members only one is worked on
-    mark = F.xxhash64("at")
-    buckets = entries.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(mark).alias("x"),
-        F.sum(F.shiftright(F.xxhash64("at", F.lit(1)), 20)).alias("s")).filter("n > 1")
-    chosen = buckets.groupBy("n", "x", "s").agg(F.min("key").alias("key"))
-    found = settle(entries.join(chosen.select("key", "n"), "key"), "near-buckets")
+    buckets = shared.groupBy("key", "n").agg(
+        F.bit_xor(F.xxhash64("at")).alias("x"), F.sum(F.shiftright(F.xxhash64("at", F.lit(1)), 20)).alias("s"))
+    chosen = buckets.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
+    found = settle(shared.join(chosen, "key"), "near-buckets")
     marks = marks_of(found.select(*_place("at")).distinct())
     signed = with_marks(sketches, marks).filter(is_marked()).select(_address(), "sketch.size", "sketch.signature")
     members = found.join(signed, "at").select(F.col("key").alias("pool"), "n", "at", "size", "signature")
@@ -176,12 +177,11 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, toler
     representatives = with_marks(staged, first).filter(is_marked()).select(_address(), "sketch")
     families = _families(staged, threshold, tolerance, representatives)
     sizes = families.groupBy("root").agg(F.count("*").alias("n"))
-    pools = settle(families.join(sizes, "root").select(F.col("node").alias("at"), F.col("root").alias("pool"), "n"),
-                   "near-families")
-    wanted = with_marks(staged, marks_of(pools.select(*_place("at")))).filter(is_marked())
-    sets = wanted.select(_address(), "sketch.size", "sketch.signature",
-                         F.arrow_udf(_shingles, "binary")(text).alias("shingles"))
-    members = sets.join(pools, "at").join(classes.select("at", "copies"), "at")
+    pools = families.join(sizes, "root").join(classes, F.col("node") == F.col("at")).select(
+        *_place("node"), F.col("root").alias("pool"), "n", "copies")
+    members = carried(staged, pools, ["pool", "n", "copies"]).select(
+        _address(), "sketch.size", "sketch.signature", F.arrow_udf(_shingles, "binary")(text).alias("shingles"),
+        "pool", "n", "copies")
     verified = settle(_dealt(members).mapInArrow(
         _verify(threshold, tolerance), "at bigint, root bigint, links bigint"), "near-links")
     links = verified.groupBy("at").agg(F.sum("links").alias("links"))
