@@ -92,8 +92,8 @@ def density(df: DataFrame, decimals: int = 2) -> DataFrame:
 def frp_histogram(df: DataFrame, bins: int = 60) -> DataFrame:
     """Histogram of FRP limited to its 99th percentile, with the unlimited median."""
     limits = stats.quantiles(df, "frp", {"lo": 0.0, "hi": 0.99, "mediana": 0.5})
-    values = df.select(F.lit("frp").alias("variable"), F.col("frp").cast("double").alias("v"))
-    return stats.bars(values, limits.withColumn("variable", F.lit("frp")), bins).drop("variable")
+    values = df.select(F.col("frp").cast("double").alias("v"))
+    return stats.bars_of_one(values, limits, bins)
 
 
 def frp_by_month(df: DataFrame) -> DataFrame:

@@ -6,12 +6,10 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from hazardlake.operators.sizing import fits_one_task
-
 # The bracketing sketch has a rank error of 1 / SKETCH_ACCURACY per group; brackets reach
 # four times as far to either side of a wanted rank.
 SKETCH_ACCURACY = 2000
-BINS = 64
+BINS = 256
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -22,62 +20,40 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 # --- quantiles --------------------------------------------------------------------------
 
-def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None,
-              one_pass: bool | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (per group), one column per entry.
 
-    Missing values (null or NaN) do not count. ``by`` must take values of a short fixed
-    list (chart categories, column names), since one row per group is broadcast.
-
-    Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is used
-    where the whole input is below a size bound; a large group would outgrow the buffer,
-    so there the ranks are located in two passes over the input instead. Pass 1
-    brackets each wanted rank with a small mergeable sketch and counts the rows. Pass 2
-    counts the rows below each bracket and, per distinct value, the rows inside it; both
-    counts combine before the shuffle, and values above the bracket are dropped there.
-    What is left is a sliver of the distinct values. A second sketch cuts it into bins of
-    about equally many, whatever their spacing, and only the bins that hold a wanted rank
-    are put in order. A bracket that misses its rank raises instead of returning a wrong
-    value.
+    Missing values (null or NaN) do not count; a null group is a group. ``by`` must take values of
+    a short fixed list (chart categories, column names), since one row per group is broadcast.
+
+    No task holds the values of a group. Pass 1 brackets each wanted rank with a small mergeable
+    sketch and counts the rows. Pass 2 counts the rows below each bracket and, per distinct value,
+    the rows inside it; both counts combine before the shuffle, and values above the bracket are
+    dropped there. What is left is a sliver of the distinct values. A second sketch cuts it into
+    bins of about equally many, whatever their spacing, and only the bins that hold a wanted rank
+    are put in order. A bracket that misses its rank on either side raises instead of returning a
+    wrong value.
     """
     column = (F.col(value) if isinstance(value, str) else value).cast("double")
-    group = F.col(by) if by else F.lit(0)
+    # inside a struct a null group is equal to itself
+    group = F.struct((F.col(by) if by else F.lit(0)).alias("key"))
     values = df.select(group.alias("_g"), column.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
-    if fits_one_task(values) if one_pass is None else one_pass:
-        shares = ", ".join(map(str, probs.values()))
-        found = values.groupBy("_g").agg(F.expr(f"percentile(_v, array({shares}))").alias("q"))
-        return found.select(*([F.col("_g").alias(by)] if by else []),
-                            *[F.col("q")[i].alias(name) for i, name in enumerate(probs)])
-    hits = _in_brackets(values, list(probs.values()), grouped=by is not None)
-    # all values below a bracket count as one
-    counted = hits.groupBy("_g", "i", "rank", F.expr("CASE WHEN _v >= lo THEN _v END").alias("v")).agg(
-        F.count("*").alias("c"))
-    shares = ", ".join(str(n / BINS) for n in range(1, BINS))
-    cuts = counted.groupBy("_g", "i").agg(
-        F.expr(f"percentile_approx(v, array({shares}), {SKETCH_ACCURACY})").alias("cuts"))
+    targets = _brackets(values, list(probs.values()))
+    found = _ranked(values, targets, grouped=by is not None)
+    # every group and quantile that is wanted, whether or not its rank was found
+    wanted = targets.select("_g", F.inline("targets")).select("_g", "i", "rank")
     # one row per group and quantile
-    binned = counted.join(F.broadcast(cuts), ["_g", "i"]).select(
-        "_g", "i", "rank", "v", "c",
-        F.expr("CASE WHEN v IS NULL THEN -1 ELSE size(filter(cuts, cut -> cut <= v)) END").alias("bin"))
-    # at most BINS + 1 rows per group and quantile
-    bins = binned.groupBy("_g", "i", "rank", "bin").agg(F.sum("c").alias("c")).select(
-        "_g", "i", "rank", "bin", "c", _total_before("_g", "i", order="bin").alias("start"))
-    wanted = bins.filter("start <= ceil(rank) AND start + c > floor(rank)").select("_g", "i", "bin", "start")
-    placed = binned.join(wanted, ["_g", "i", "bin"]).select(
-        "_g", "i", "rank", "v", "c", (F.col("start") + _total_before("_g", "i", "bin", order="v")).alias("at"))
-    found = placed.groupBy("_g", "i", "rank").agg(
-        F.expr("max(CASE WHEN at <= floor(rank) AND at + c > floor(rank) THEN v END)").alias("low"),
-        F.expr("max(CASE WHEN at <= ceil(rank) AND at + c > ceil(rank) THEN v END)").alias("high"))
+    joined = wanted.join(F.broadcast(found), ["_g", "i"], "left")
     interpolated = F.expr("low + (high - low) * (rank - floor(rank))")
-    checked = F.when(interpolated.isNull(), F.raise_error(F.lit("a quantile lies outside its bracket")))
-    result = found.groupBy("_g").agg(*[
-        F.max(F.when(F.col("i") == i, checked.otherwise(interpolated))).alias(name)
-        for i, name in enumerate(probs)])
-    return result.withColumnRenamed("_g", by) if by else result.drop("_g")
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    checked = F.when(F.col("low").isNull() | F.col("high").isNull(), missed).otherwise(interpolated)
+    result = joined.groupBy("_g").agg(*[
+        F.max(F.when(F.col("i") == i, checked)).alias(name) for i, name in enumerate(probs)])
+    return result.select(*([F.col("_g.key").alias(by)] if by else []), *probs)
 
 
-def _in_brackets(values: DataFrame, probs: list[float], grouped: bool) -> DataFrame:
-    """Each value once per quantile whose bracket it does not exceed, with rank and lower edge."""
+def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
+    """One row per group: for each quantile its rank and the edges of its bracket."""
     margin = 4.0 / SKETCH_ACCURACY
     sides = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
     edges = values.groupBy("_g").agg(
@@ -85,18 +61,44 @@ def _in_brackets(values: DataFrame, probs: list[float], grouped: bool) -> DataFr
         F.percentile_approx("_v", sides, SKETCH_ACCURACY).alias("e"))
     # among few values the two ranks to interpolate between are far apart in share of rows
     few = F.col("n") < 2 * SKETCH_ACCURACY
-    targets = edges.select("_g", F.array(*[
+    return edges.select("_g", F.array(*[
         F.struct(
             F.lit(i).alias("i"),
             F.when(few | (sides[2 * i] == 0.0), F.col("least")).otherwise(F.col("e")[2 * i]).alias("lo"),
             F.when(few | (sides[2 * i + 1] == 1.0), F.col("most")).otherwise(F.col("e")[2 * i + 1]).alias("hi"),
             (p * (F.col("n") - 1)).alias("rank"),
         ) for i, p in enumerate(probs)]).alias("targets"))
+
+
+def _ranked(values: DataFrame, targets: DataFrame, grouped: bool) -> DataFrame:
+    """The values at the ranks around each wanted one: (_g, i, low, high)."""
     if grouped:
         bracketed = values.join(F.broadcast(targets), "_g")
     else:
         bracketed = values.withColumn("targets", targets.select("targets").scalar())
-    return bracketed.select("_g", "_v", F.inline("targets")).filter("_v <= hi")
+    # each value once per quantile whose bracket it does not exceed
+    hits = bracketed.select("_g", "_v", F.inline("targets")).filter("_v <= hi")
+    # all values below a bracket count as one
+    counted = hits.groupBy("_g", "i", "rank", F.expr("CASE WHEN _v >= lo THEN _v END").alias("v")).agg(
+        F.count("*").alias("c"))
+    shares = ", ".join(str(n / BINS) for n in range(1, BINS))
+    # the count is taken along, so that both uses of the counts read one exchange
+    cuts = counted.groupBy("_g", "i").agg(
+        F.expr(f"percentile_approx(v, array({shares}), {4 * SKETCH_ACCURACY})").alias("cuts"),
+        F.sum("c").alias("total")).select("_g", "i", F.expr("CASE WHEN total > 0 THEN cuts END").alias("cuts"))
+    # one row per group and quantile
+    binned = counted.join(F.broadcast(cuts), ["_g", "i"]).select(
+        "_g", "i", "rank", "v", "c",
+        F.expr("CASE WHEN v IS NULL THEN -1 ELSE size(filter(cuts, cut -> cut <= v)) END").alias("bin"))
+    # at most BINS + 1 rows per group and quantile
+    bins = binned.groupBy("_g", "i", "rank", "bin").agg(F.sum("c").alias("c")).select(
+        "_g", "i", "rank", "bin", "c", _total_before("_g", "i", order="bin").alias("start"))
+    wanted = bins.filter("start <= ceil(rank) AND start + c > floor(rank)").select("_g", "i", "bin", "start")
+    placed = binned.join(wanted, ["_g", "i", "bin"]).select(
+        "_g", "i", "rank", "v", "c", (F.col("start") + _total_before("_g", "i", "bin", order="v")).alias("at"))
+    return placed.groupBy("_g", "i").agg(
+        F.expr("max(CASE WHEN at <= floor(rank) AND at + c > floor(rank) THEN v END)").alias("low"),
+        F.expr("max(CASE WHEN at <= ceil(rank) AND at + c > ceil(rank) THEN v END)").alias("high"))
 
 
 def _total_before(*partition: str, order: str) -> Column:
@@ -161,25 +163,38 @@ def bars(long: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
     ``limits`` has one row per variable, with any further columns to carry along. Values
     above the upper limit count in the last bin, as if clipped.
     """
+    return _bars(long.join(F.broadcast(_ranges(limits)), "variable"), limits, bins)
+
+
+def bars_of_one(values: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
+    """As ``bars`` for a single variable, whose one row of limits enters as a scalar."""
+    return _bars(attach(values, _ranges(limits)).filter("lo IS NOT NULL"), limits, bins)
+
+
+def _ranges(limits: DataFrame) -> DataFrame:
     flat = F.col("lo") == F.col("hi")
+    return limits.filter("lo IS NOT NULL").withColumns({
+        "lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")),
+        "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))})
+
+
+def _bars(ranged: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
+    name = [c for c in limits.columns if c == "variable"]
     carried = [c for c in limits.columns if c not in ("variable", "lo", "hi")]
-    ranges = limits.filter("lo IS NOT NULL").select(
-        "variable", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"), *carried)
     position = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     counts = (
-        long.filter("v IS NOT NULL").join(F.broadcast(ranges), "variable")
-        .groupBy("variable", "lo", "hi", *carried, F.least(F.lit(bins - 1), position).cast("int").alias("bin"))
+        ranged.filter("v IS NOT NULL")
+        .groupBy(*name, "lo", "hi", *carried, F.least(F.lit(bins - 1), position).cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     # at most one entry per bin
-    per_variable = counts.groupBy("variable", "lo", "hi", *carried).agg(
+    per_variable = counts.groupBy(*name, "lo", "hi", *carried).agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("filled"))
     width = (F.col("hi") - F.col("lo")) / bins
     return per_variable.select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     ).select(
-        "variable", "bin", (F.col("lo") + width * F.col("bin")).alias("lower"),
+        *name, "bin", (F.col("lo") + width * F.col("bin")).alias("lower"),
         (F.col("lo") + width * (F.col("bin") + 1)).alias("upper"),
         F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0)).alias("n"), *carried)
 
@@ -238,23 +253,19 @@ def null_profile(df: DataFrame, columns=None) -> DataFrame:
         "c.*", F.when(F.col("c.column_name") != "TOTAL", share).alias("null_pct"))
 
 
-def duplicate_rows(df: DataFrame, one_pass: bool | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows equal to an earlier one: their count and percentage. Nulls compare equal.
 
-    Small inputs group whole rows at once. Larger ones first count 64-bit fingerprints,
-    which shuffles a few bytes per row, and group whole rows only where a fingerprint
-    repeats; grouping the rows themselves keeps the count exact when fingerprints collide.
+    One pass counts 64-bit fingerprints, which gives the number of rows as well. Whole rows are
+    grouped only where a fingerprint repeats, which keeps the count exact when fingerprints collide.
     """
-    if one_pass is None:
-        one_pass = fits_one_task(df)
-    rows = df
-    if not one_pass:
-        marked = df.withColumn("_print", F.xxhash64(*df.columns))
-        repeated = marked.groupBy("_print").agg(F.count("*").alias("_c")).filter("_c > 1").select("_print")
-        rows = marked.join(repeated, "_print", "left_semi").select(*df.columns)
+    marked = df.withColumn("_print", F.xxhash64(*df.columns))
+    prints = marked.groupBy("_print").agg(F.count("*").alias("_c"))
+    rows = marked.join(prints.filter("_c > 1").select("_print"), "_print", "left_semi").select(*df.columns)
     extra = rows.groupBy(*df.columns).agg(F.count("*").alias("_c")).agg(
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates"))
-    counted = extra.withColumn("rows", df.agg(F.count("*")).scalar())
+    total = prints.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"))
+    counted = extra.withColumn("rows", total.scalar())
     return counted.select(
         "duplicates",
         F.when(F.col("rows") > 0, F.round(F.col("duplicates") * 100.0 / F.col("rows"), 2)).otherwise(0.0)

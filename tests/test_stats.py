@@ -8,14 +8,14 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from hazardlake.operators import sizing, stats
+from hazardlake.operators import stats
 
 PROBS = {"q01": 0.01, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99}
 
 
-def check_quantiles(spark, values, partitions=8, one_pass=False):
+def check_quantiles(spark, values, partitions=8):
     frame = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(partitions)
-    row = stats.quantiles(frame, "v", PROBS, one_pass=one_pass).collect()[0]
+    row = stats.quantiles(frame, "v", PROBS).collect()[0]
     wanted = np.quantile(np.asarray(values), list(PROBS.values()))
     assert np.allclose([row[n] for n in PROBS], wanted, rtol=1e-12, atol=1e-12)
 
@@ -39,15 +39,11 @@ def test_quantiles_match_brute_force(spark, name):
     check_quantiles(spark, distributions()[name])
 
 
-def test_one_pass_quantiles(spark):
-    check_quantiles(spark, distributions()["heavy tail"], one_pass=True)
-
-
 def test_quantiles_of_sorted_uneven_partitions(spark):
     ordered = spark.range(200_000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     frame = ordered.repartitionByRange(37, "v").unionAll(ordered.limit(50_000).coalesce(1))
     values = np.concatenate([np.arange(200_000.0) ** 2, np.arange(50_000.0) ** 2])
-    row = stats.quantiles(frame, "v", PROBS, one_pass=False).collect()[0]
+    row = stats.quantiles(frame, "v", PROBS).collect()[0]
     assert np.allclose([row[n] for n in PROBS], np.quantile(values, list(PROBS.values())))
 
 
@@ -57,18 +53,40 @@ def test_quantiles_of_small_lists(spark, values):
     check_quantiles(spark, values, partitions=3)
 
 
-@pytest.mark.parametrize("one_pass", [True, False])
-def test_grouped_quantiles_skip_missing_values(spark, one_pass):
+def test_grouped_quantiles_skip_missing_values(spark):
     frame = spark.createDataFrame(
-        [("a", 1.0), ("a", 3.0), ("a", None), ("a", float("nan")), ("b", 7.0), ("c", None)], "g string, v double")
-    rows = {r.g: r.m for r in stats.quantiles(frame, "v", {"m": 0.5}, by="g", one_pass=one_pass).collect()}
-    assert rows == {"a": 2.0, "b": 7.0}
+        [("a", 1.0), ("a", 3.0), ("a", None), ("a", float("nan")), ("b", 7.0), ("c", None),
+         (None, 4.0), (None, 6.0)], "g string, v double")
+    rows = {r.g: r.m for r in stats.quantiles(frame, "v", {"m": 0.5}, by="g").collect()}
+    assert rows == {"a": 2.0, "b": 7.0, None: 5.0}
+
+
+@pytest.mark.parametrize("edge, factor", [("lo", 2.0), ("hi", 0.5)])
+def test_a_bracket_that_misses_raises(spark, monkeypatch, edge, factor):
+    real = stats._brackets
+
+    def shifted(values, probs):
+        return real(values, probs).withColumn("targets", F.transform("targets", lambda t: t.withField(
+            edge, t[edge] * factor if edge == "hi" else t["hi"] * factor - t["hi"] * 0.5)).cast(
+            "array<struct<i:int,lo:double,hi:double,rank:double>>"))
+
+    monkeypatch.setattr(stats, "_brackets", shifted)
+    frame = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        stats.quantiles(frame, "v", {"a": 0.25, "b": 0.5}).collect()
 
 
-@pytest.mark.parametrize("one_pass", [True, False])
-def test_quantiles_of_nothing(spark, one_pass):
+def test_histogram_limits_enter_without_a_cross_join(spark):
+    from hazardlake.operators.detections import frp_histogram
+
+    frame = spark.range(1000).select(F.col("id").cast("double").alias("frp"))
+    text = frp_histogram(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
-    assert stats.quantiles(empty, "v", {"m": 0.5}, one_pass=one_pass).collect() == []
+    assert stats.quantiles(empty, "v", {"m": 0.5}).collect() == []
     assert stats.clip_upper(empty, "v").collect() == []
 
 
@@ -115,17 +133,16 @@ def test_describe(spark):
         assert got == pytest.approx(list(wanted[c]))
 
 
-@pytest.mark.parametrize("one_pass", [True, False])
-def test_duplicates_count_nulls_as_equal(spark, one_pass):
+def test_duplicates_count_nulls_as_equal(spark):
     rows = [(1, None), (1, None), (1, None), (2, "a"), (2, "b")] + [(9, "hot")] * 3_000
     frame = spark.createDataFrame(rows, "a int, b string")
-    row = stats.duplicate_rows(frame, one_pass).collect()[0]
+    row = stats.duplicate_rows(frame).collect()[0]
     assert row.duplicates == 2 + 2_999
     assert row.duplicates_pct == round(3_001 * 100 / 3_005, 2)
 
 
 def test_duplicates_of_nothing(spark):
-    row = stats.duplicate_rows(spark.createDataFrame([], "a int"), False).collect()[0]
+    row = stats.duplicate_rows(spark.createDataFrame([], "a int")).collect()[0]
     assert (row.duplicates, row.duplicates_pct) == (0, 0.0)
 
 
@@ -138,10 +155,3 @@ def test_null_profile(spark):
 def test_dense_months(spark):
     months = stats.dense_months(spark.createDataFrame([(2, 5)], "mes int, n bigint"), {"n": 0})
     assert [r.n for r in months.orderBy("mes").collect()] == [0, 5] + [0] * 10
-
-
-def test_size_estimate_decides_between_plans(spark):
-    small = spark.range(100)
-    assert sizing.fits_one_task(small)
-    assert not sizing.fits_one_task(small, limit=10)
-    assert not sizing.fits_one_task(spark.range(10**9))
