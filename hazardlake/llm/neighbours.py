@@ -19,8 +19,9 @@ from hazardlake.llm import lsh
 from hazardlake.llm.common import column, settle, ship
 
 SAMPLE = 2000  # vectors that the hash parameters are fitted to
-BUCKET = 256  # rows per bucket that the number of hash functions aims at
+BUCKET = 1024  # rows per bucket that the number of hash functions aims at: four blocks
 BLOCK = 256  # vectors or queries in a block
+BUFFER = 200_000  # results that a task merges before it passes them on
 TABLES = 4
 RECALL = 0.97
 
@@ -74,28 +75,51 @@ def _visit(hashes: lsh.Tables):
     return run
 
 
+def _top(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of queries, ids and distances the k nearest ids of each query, each id once."""
+    query, vector, score = found
+    order = np.lexsort((vector, score, query))
+    query, vector, score = query[order], vector[order], score[order]
+    fresh = np.ones(len(query), bool)
+    fresh[1:] = (query[1:] != query[:-1]) | (vector[1:] != vector[:-1])
+    query, vector, score = query[fresh], vector[fresh], score[fresh]
+    starts = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else np.empty(0, np.int64)
+    rank = np.arange(len(query)) - np.repeat(starts, np.diff(np.append(starts, len(query))))
+    return [query[rank < k], vector[rank < k], score[rank < k]]
+
+
 def _compare(k: int):
+    def pairs(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+        for rows, visitors in zip(batch["rows"], batch["visitors"]):
+            ids = [r["ids"].as_py() for r in rows]
+            x = _matrix(rows.values.field("vector"))
+            owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+            flat = np.concatenate([np.array(i, np.int64) for i in ids])
+            q = _matrix(visitors.values.field("vector"))
+            for query, vector in zip(visitors.values.field("query_id").to_pylist(), q):
+                distance = np.sqrt(((x - vector) ** 2).sum(axis=1))[owner]
+                other = flat != query
+                names, distance = flat[other], distance[other]
+                best = np.lexsort((names, distance))[:k]
+                yield [np.full(len(best), query, np.int64), names[best], distance[best]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # results of a query in several blocks are merged here, as far as a bounded buffer goes
+        names = ["query_id", "vec_id", "score"]
+        held, size = [], 0
         for batch in batches:
-            queries, vectors, scores = [], [], []
-            for rows, visitors in zip(batch["rows"], batch["visitors"]):
-                ids = [r["ids"].as_py() for r in rows]
-                x = _matrix(rows.values.field("vector"))
-                owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-                flat = np.concatenate([np.array(i, np.int64) for i in ids])
-                q = _matrix(visitors.values.field("vector"))
-                for query, vector in zip(visitors.values.field("query_id").to_pylist(), q):
-                    distance = np.sqrt(((x - vector) ** 2).sum(axis=1))[owner]
-                    other = flat != query
-                    names, distance = flat[other], distance[other]
-                    best = np.lexsort((names, distance))[:k]
-                    queries.append(np.full(len(best), query, np.int64))
-                    vectors.append(names[best])
-                    scores.append(distance[best])
-            if queries:
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": np.concatenate(queries), "vec_id": np.concatenate(vectors),
-                    "score": np.concatenate(scores)})
+            for part in pairs(batch):
+                held.append(part)
+                size += len(part[0])
+                if size >= BUFFER:
+                    merged = _top([np.concatenate(c) for c in zip(*held)], k)
+                    held, size = [merged], len(merged[0])
+                    if size >= BUFFER // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged], names=names)
+                        held, size = [], 0
+        if held:
+            merged = _top([np.concatenate(c) for c in zip(*held)], k)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged], names=names)
 
     return run
 
