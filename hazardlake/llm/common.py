@@ -15,10 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hazardlake.session import new_folder
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in these low bits
+# Bytes of a batch on its way to a Python worker: long texts then come a few at a time, and neither
+# side holds more than some copies of this.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors once per application."""
+    """Send this package's sources to the executors once per application, and bound Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_hazardlake_shipped", False):
         return

@@ -16,7 +16,7 @@ from hazardlake.llm.common import column, ship
 MAX_LANGUAGES = 512
 SALTS = 1024  # first-level groups when counts of tasks are added up
 AMBIGUOUS_LEAD = 0.25  # of the second codeword's loss over the first's
-ROWS = 512  # texts whose counts are in memory at once
+ROWS = 64  # texts whose counts are in memory at once, 64 kB each
 
 HAS_LETTER = regex.compile(r"\p{L}").search
 
