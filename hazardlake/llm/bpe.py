@@ -23,7 +23,8 @@ WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N
          r"|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 AT_EDGE = re.compile(rf"\A[{SPACE}]|[{SPACE}]\Z")
 
-GENERATION = 250_000  # entries; two generations of two caches take up to 200 MB in a worker
+GENERATION = 100_000  # entries; two generations of two caches take up to 100 MB, which a worker keeps
+PAIRS = 300_000  # tested pairs that are remembered
 
 
 def byte_characters() -> dict[str, int]:
@@ -119,6 +120,8 @@ class Encoder:
                 before = last[begin]
                 holds = known.get((before, token))
                 if holds is None:
+                    if len(known) >= PAIRS:
+                        known.clear()
                     holds = known[before, token] = self._boundary_holds(before, token)
                 if not holds:
                     continue

@@ -12,7 +12,7 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP = 16  # MinHash values compared at once
 PIECE = 4096  # shingles hashed at once
-GENERATION = 300_000
+GENERATION = 100_000  # words whose hashes a worker keeps
 
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
