@@ -12,6 +12,7 @@ from hazardlake.operators import access, quality as q, stats
 from hazardlake.session import new_folder
 from hazardlake.sinks import keyed, messages
 from hazardlake.sources import lake
+from hazardlake.streaming.queries import partitioned_sink
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -165,8 +166,8 @@ def quality_points(t):
     return q.quality_points(batched_sensors(t), "event_time", by=("batch",))
 
 
-@query("dq_11", f"""WITH {SENSORS} SELECT grid_id, reason, count(*) AS count FROM checked WHERE reason <> ''
- GROUP BY grid_id, reason""")
+@query("dq_11", f"""WITH {SENSORS} SELECT TIMESTAMP '{AS_OF}' AS _time, grid_id, reason, count(*) AS count FROM checked
+ WHERE reason <> '' GROUP BY grid_id, reason""")
 def rejection_points(t):
     return q.rejection_points(sensor_record(t))
 
@@ -221,13 +222,14 @@ READING = """grid_id, strftime(date_trunc('hour', event_time), '%Y-%m-%dT%H:%M:%
 
 @query("snk_05", f"""WITH {SENSORS} SELECT {READING} FROM checked WHERE reason = ''""")
 def keyed_upsert(t):
-    """A first batch with outdated values, the same batch once more, then the true values."""
+    """A first batch, the same batch once more, then a batch with each key twice, the true values last."""
     path = new_folder(t.spark, "sensor_readings")
-    outdated = readings(t).withColumn("risk_score", F.lit(-1.0))
+    outdated = readings(t).withColumns({"risk_score": F.lit(-1.0), "arrival": F.lit(2)})
     keyed.append_versions(outdated, path, 0)
     keyed.append_versions(outdated, path, 0)
-    keyed.append_versions(readings(t), path, 1)
-    return keyed.read_latest(t.spark, path).drop("dia_evento", "batch_id", "latitude", "longitude", "kind")
+    current = readings(t).withColumn("arrival", F.lit(1))
+    keyed.append_versions(current.unionByName(outdated.withColumn("arrival", F.lit(0))), path, 1)
+    return keyed.read_latest(t.spark, path).drop("dia_evento", "batch_id", "arrival", "latitude", "longitude", "kind")
 
 
 @query("snk_06", f"""WITH {SENSORS} SELECT {READING} FROM checked WHERE reason = ''
@@ -247,9 +249,12 @@ ALERTS = f"""{SENSORS}, alerts AS (SELECT {ALERT_ID} AS alert_id, grid_id, event
 
 @query("snk_07", f"WITH {ALERTS} SELECT * FROM alerts")
 def alert_append(t):
+    """The batch is written twice, as after a failure, and stored once."""
     path = new_folder(t.spark, "fire_alerts")
-    access.alert_rows(readings(t)).write.mode("append").parquet(path)
-    return t.spark.read.parquet(path)
+    store = partitioned_sink(path)
+    store(access.alert_rows(readings(t)), 0)
+    store(access.alert_rows(readings(t)), 0)
+    return t.spark.read.parquet(path).drop("batch_id")
 
 
 @query("snk_08", f"""WITH {SENSORS}, {DETECTIONS.replace('checked AS', 'checked_hot AS')}
@@ -291,8 +296,10 @@ def publications(t):
 @query("qry_01", f"""WITH {SENSORS} SELECT {READING} FROM checked WHERE reason = '' AND grid_id = 'Z5'
  AND strftime(date_trunc('hour', event_time), '%Y-%m-%dT%H:%M:%S') = '2024-01-10T17:00:00' ORDER BY event_time DESC LIMIT 5""")
 def newest_readings(t):
-    rows = access.newest_in_bucket(readings(t), "Z5", "2024-01-10T17:00:00", 5)
-    return rows.drop("latitude", "longitude", "kind")
+    path = new_folder(t.spark, "sensor_readings")
+    keyed.append_versions(readings(t), path, 0)
+    rows = access.newest_in_bucket(keyed.read_latest(t.spark, path), "Z5", "2024-01-10T17:00:00", 5)
+    return rows.drop("dia_evento", "batch_id", "latitude", "longitude", "kind")
 
 
 @query("qry_02", f"""WITH {ALERTS}, newest AS (SELECT * FROM alerts ORDER BY alert_time DESC, alert_id LIMIT 10)

@@ -12,6 +12,10 @@ from hazardlake.functions.hazard import risk_level
 from hazardlake.functions.values import or_default
 
 
+def _arrival(events: DataFrame) -> list[str]:
+    return [c for c in events.columns if c == "arrival"]
+
+
 def sensor_rows(events: DataFrame) -> DataFrame:
     """Valid sensor events in the layout of the readings table."""
     return events.select(
@@ -23,7 +27,7 @@ def sensor_rows(events: DataFrame) -> DataFrame:
         F.col("risk_score").cast("double"),
         or_default(F.col("latitude").cast("double"), 0.0).alias("latitude"),
         or_default(F.col("longitude").cast("double"), 0.0).alias("longitude"),
-        F.lit("sensor").alias("kind"),
+        F.lit("sensor").alias("kind"), *_arrival(events),
     )
 
 
@@ -39,7 +43,7 @@ def detection_rows(detections: DataFrame) -> DataFrame:
         or_default(F.col("frp_mw").cast("double"), 0.0).alias("risk_score"),
         or_default(F.col("latitude").cast("double"), 0.0).alias("latitude"),
         or_default(F.col("longitude").cast("double"), 0.0).alias("longitude"),
-        F.lit("detection").alias("kind"),
+        F.lit("detection").alias("kind"), *_arrival(detections),
     )
 
 
@@ -56,8 +60,11 @@ def alert_rows(readings: DataFrame) -> DataFrame:
 
 
 def newest_in_bucket(readings: DataFrame, grid_id: str, bucket: str, n: int) -> DataFrame:
-    return (readings.filter((F.col("grid_id") == grid_id) & (F.col("hour_bucket") == bucket))
-            .orderBy(F.desc("event_time")).limit(n))
+    """The newest readings of a zone and hour; of a stored table, only that day's folder is read."""
+    rows = readings.filter((F.col("grid_id") == grid_id) & (F.col("hour_bucket") == bucket))
+    if "dia_evento" in readings.columns:
+        rows = rows.filter(F.col("dia_evento") == F.to_date(F.lit(bucket[:10])))
+    return rows.orderBy(F.desc("event_time")).limit(n)
 
 
 def newest_alerts(alerts: DataFrame, n: int = 10) -> DataFrame:

@@ -37,12 +37,10 @@ def monthly_box(series: DataFrame, variable: str) -> DataFrame:
 
 
 def monthly_mean(series: DataFrame, variable: str) -> DataFrame:
-    means = series.groupBy("mes").agg(F.avg(variable).alias(variable))
-    present = means.withColumn("_seen", F.lit(True))
-    months = stats.dense_months(present.select("mes", "_seen"), {"_seen": False})
+    means = series.groupBy("mes").agg(F.avg(variable).alias("_mean"), F.count("*").alias("_instants"))
     # a month without instants reads 0, a month with only null values stays null
-    return months.join(means, "mes", "left").select(
-        "mes", F.when(F.col("_seen"), F.col(variable)).otherwise(0.0).alias(variable))
+    return stats.every_month(means).select(
+        "mes", F.when(F.col("_instants").isNull(), 0.0).otherwise(F.col("_mean")).alias(variable))
 
 
 def monthly_sum(series: DataFrame, variable: str) -> DataFrame:

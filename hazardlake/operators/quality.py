@@ -133,6 +133,12 @@ def with_detection_reasons(df: DataFrame) -> DataFrame:
     return df.withColumn(REASONS, F.array_compact(F.array(*mandatory, *ranges, zone_reason)))
 
 
+def with_time_reason(validated: DataFrame, time: str = "event_time", text: str = "timestamp") -> DataFrame:
+    """Add a reason where the event time is absent or cannot be read: a keyed table has no place for the row."""
+    reason = F.when(F.col(time).isNull(), F.when(F.col(text).isNull(), "timestamp_null").otherwise("timestamp_invalid"))
+    return validated.withColumn(REASONS, F.array_compact(F.concat(F.col(REASONS), F.array(reason))))
+
+
 def is_valid() -> Column:
     return F.size(REASONS) == 0
 
@@ -189,10 +195,10 @@ def quality_points(df: DataFrame, time: str, source: str = "sensor_readings",
 
 
 def rejection_points(quarantined: DataFrame) -> DataFrame:
-    """``rejected_events`` totals per zone and joined reasons."""
+    """``rejected_events`` points: totals per time of rejection, zone and joined reasons."""
     return (
         quarantined
-        .groupBy("grid_id", F.array_join(REASONS, ",").alias("reason"))
+        .groupBy(F.col("rejected_at").alias("_time"), "grid_id", F.array_join(REASONS, ",").alias("reason"))
         .agg(F.count("*").alias("count"))
     )
 

@@ -274,8 +274,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 # --- dense calendars -----------------------------------------------------------------------------
 
+def every_month(per_month: DataFrame) -> DataFrame:
+    """One row per month 1..12, null where there is no data."""
+    months = per_month.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("mes"))
+    return months.join(per_month, "mes", "left")
+
+
 def dense_months(per_month: DataFrame, fill: dict[str, float]) -> DataFrame:
     """One row per month 1..12; months without data get the fill value."""
-    months = per_month.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("mes"))
-    return months.join(per_month, "mes", "left").select(
+    return every_month(per_month).select(
         "mes", *[F.coalesce(F.col(c), F.lit(value)).alias(c) for c, value in fill.items()])

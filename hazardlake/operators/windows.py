@@ -128,6 +128,12 @@ def composite_columns(joined: DataFrame) -> DataFrame:
 
 def composite(sensors: DataFrame, detections: DataFrame, weather: DataFrame, window: str = k.WINDOW,
               slide: str = k.SLIDE, watermark: str | None = None) -> DataFrame:
+    """Composite table of zones, in batch and in streaming.
+
+    Rows without a zone take no part: they can match nothing, and a stream need not keep state
+    for them. Ingestion quarantines and counts them.
+    """
+    sensors, detections, weather = (frame.filter("grid_id IS NOT NULL") for frame in (sensors, detections, weather))
     return composite_columns(join_sources(
         sensor_windows(sensors, window, slide, watermark),
         detection_windows(detections, window, slide, watermark),

@@ -2,7 +2,8 @@
 
 A write appends an immutable version of its rows under (day, batch). Writing a batch again
 replaces only that batch, so a replay after a failure changes nothing. Readers keep the
-latest version per key. No stored file is rewritten by a later batch.
+latest version per key: of the last batch and, within it, by ``arrival`` where rows carry it. No
+stored file is rewritten by a later batch.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from hazardlake import constants as k
 from hazardlake.operators.access import within_retention
 
 KEY = ("grid_id", "hour_bucket", "event_time")
+ORDER = ("batch_id", "arrival")
 
 
 def latest_per_key(versions: DataFrame, key: tuple[str, ...] = KEY, order: tuple[str, ...] = ("batch_id",),
@@ -36,7 +38,16 @@ def append_versions(rows: DataFrame, path: str, batch_id: int, time: str = "even
     )
 
 
-def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",),
+def numbered(batch: DataFrame) -> DataFrame:
+    """Rows of a micro-batch with their line number added to their place of arrival.
+
+    Lines of a file stay together and in order, so the number orders what one file holds.
+    """
+    source = [F.col("arrival").alias("source")] if "arrival" in batch.columns else []
+    return batch.withColumn("arrival", F.struct(*source, F.monotonically_increasing_id().alias("line")))
+
+
+def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ORDER,
                 as_of: Column | None = None, hours: int = k.RETENTION_HOURS) -> DataFrame:
     """Current rows of a keyed table, without those past their lifetime when ``as_of`` is given.
 
@@ -46,7 +57,8 @@ def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch
     versions = spark.read.parquet(path)
     if as_of is not None:
         versions = within_retention(versions, "written_at", as_of, hours)
-    return latest_per_key(versions, order=order)
+    # the day follows from the event time; as part of the key it lets filters on days reach the scan
+    return latest_per_key(versions, ("dia_evento", *KEY), tuple(c for c in order if c in versions.columns))
 
 
 def newest_first(readings: DataFrame) -> DataFrame:

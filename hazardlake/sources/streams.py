@@ -1,7 +1,8 @@
 """Event streams: a broker or a folder of envelope files, decoded by one function.
 
-An envelope row has a ``key`` and a JSON ``value``. Decoding does not depend on where it
-came from, in batch or in streaming.
+An envelope row has a ``key``, a JSON ``value`` and its place of ``arrival``, which puts messages
+in the order they were sent. Decoding does not depend on where a row came from, in batch or in
+streaming.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def broker_topic(spark: SparkSession, servers: str, topic: str, starting: str =
               .option("subscribe", topic).option("startingOffsets", starting))
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-    return reader.load()
+    return reader.load().withColumn("arrival", F.struct("timestamp", "partition", "offset"))
 
 
 def envelope_folder(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -30,21 +31,28 @@ def envelope_folder(spark: SparkSession, path: str, max_files: int | None = None
     reader = spark.readStream.schema(schemas.ENVELOPE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _with_file_arrival(reader.json(path))
 
 
 def envelope_batch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.ENVELOPE).json(path)
+    return _with_file_arrival(spark.read.schema(schemas.ENVELOPE).json(path))
 
 
-def decode(envelopes: DataFrame, schema: str, time_field: str = "timestamp") -> DataFrame:
-    """Message bytes to typed columns and an event time.
+def _with_file_arrival(rows: DataFrame) -> DataFrame:
+    """Files in the order they were written; lines of a file are numbered where they are stored."""
+    parts = ("file_modification_time", "file_path", "file_block_start")
+    return rows.select("*", F.struct(*[F.col(f"_metadata.{p}").alias(p) for p in parts]).alias("arrival"))
+
+
+def decode(envelopes: DataFrame, schema: str, time_field: str = "timestamp",
+           carried: tuple[str, ...] = ()) -> DataFrame:
+    """Message bytes to typed columns and an event time, with the ``carried`` envelope columns.
 
     Undeclared fields are ignored; wrongly typed fields and unreadable times become null.
     """
     return (
-        envelopes.select(F.from_json(F.col("value").cast("string"), schema).alias("d"))
-        .select("d.*")
+        envelopes.select(F.from_json(F.col("value").cast("string"), schema).alias("d"), *carried)
+        .select("d.*", *carried)
         .withColumn("event_time", parse_instant(F.col(time_field)))
     )
 
@@ -63,5 +71,5 @@ def decode_weather(envelopes: DataFrame) -> DataFrame:
 
 
 def decode_for_validation(envelopes: DataFrame, schema: str) -> DataFrame:
-    """Candidate fields as text, see :mod:`hazardlake.schemas`."""
-    return decode(envelopes, schema)
+    """Candidate fields as text, see :mod:`hazardlake.schemas`, and the place of arrival."""
+    return decode(envelopes, schema, carried=("arrival",))

@@ -47,12 +47,8 @@ def _start(frame, checkpoint, mode, once, every, sink, path) -> StreamingQuery:
 def composite_stream(sensors: DataFrame, detections: DataFrame, weather: DataFrame,
                      window: str = k.WINDOW, slide: str = k.SLIDE,
                      watermark: str = k.WATERMARK) -> DataFrame:
-    """Three watermarked window aggregates joined per (window, zone).
-
-    Rows without a zone can match nothing and are dropped before they take up state.
-    """
-    zoned = [frame.filter("grid_id IS NOT NULL") for frame in (sensors, detections, weather)]
-    return composite(*zoned, window=window, slide=slide, watermark=watermark)
+    """Three watermarked window aggregates joined per (window, zone)."""
+    return composite(sensors, detections, weather, window, slide, watermark)
 
 
 def fan_out(sinks: list[Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
@@ -101,7 +97,8 @@ def sensor_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame,
     """Micro-batch of text candidates to readings, alerts, alert messages, quarantine, metrics."""
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if as_of is None else as_of
-        validated = quality.with_sensor_reasons(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = quality.with_time_reason(quality.with_sensor_reasons(keyed.numbered(batch)))
+        validated = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = quality.split(validated)
             typed = _numbers(good, SENSOR_NUMBERS)
@@ -126,7 +123,8 @@ def detection_sink(root: str, as_of: Column | None = None) -> Callable[[DataFram
     """Micro-batch of satellite candidates to readings, quarantine and metrics."""
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if as_of is None else as_of
-        validated = quality.with_detection_reasons(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = quality.with_time_reason(quality.with_detection_reasons(keyed.numbered(batch)))
+        validated = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = quality.split(validated)
             typed = _numbers(good, DETECTION_NUMBERS)
@@ -164,4 +162,4 @@ def detection_candidates(envelopes: DataFrame) -> DataFrame:
 
 def running_counts(candidates: DataFrame) -> DataFrame:
     """Processed, valid and rejected events per source since the query began (update mode)."""
-    return quality.batch_counts(quality.with_sensor_reasons(candidates), ("source",))
+    return quality.batch_counts(quality.with_time_reason(quality.with_sensor_reasons(candidates)), ("source",))

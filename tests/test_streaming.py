@@ -7,7 +7,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from hazardlake.operators import quality as q, windows as w
+from hazardlake.functions.calendar import hour_bucket
+from hazardlake.operators import access, quality as q, windows as w
 from hazardlake.session import new_folder
 from hazardlake.sinks import keyed
 from hazardlake.sources import streams as src
@@ -142,6 +143,62 @@ def test_detection_ingestion_keeps_row_kinds_apart(spark):
     assert spark.read.parquet(f"{root}/detection_quarantine").count() == 1
 
 
+def test_unreadable_times_are_quarantined(spark):
+    folder, root = new_folder(spark, "sensors"), new_folder(spark, "ingest")
+    put(spark, folder, reading(1), *[reading(1, timestamp=t) for t in ("soon", "at 12", "", "32/13/2024", None)],
+        reading(2, grid_id=None))
+    frame = sq.sensor_candidates(src.envelope_folder(spark, folder))
+    sq.start(frame, new_folder(spark, "checkpoint"), once=True, sink=sq.sensor_sink(root)).awaitTermination()
+    assert spark.read.parquet(f"{root}/sensor_readings").count() == 1
+    points = spark.read.parquet(f"{root}/rejected_events").filter("_time <= current_timestamp()").collect()
+    assert {(p.reason, p["count"]) for p in points} == {("timestamp_invalid", 4), ("timestamp_null", 1), ("grid_id_null", 1)}
+
+
+def test_the_last_line_of_a_batch_wins(spark):
+    folder, root, checkpoint = (new_folder(spark, n) for n in ("sensors", "ingest", "checkpoint"))
+
+    def stored():
+        frame = sq.sensor_candidates(src.envelope_folder(spark, folder))
+        sq.start(frame, checkpoint, once=True, sink=sq.sensor_sink(root)).awaitTermination()
+        return [r.risk_score for r in keyed.read_latest(spark, f"{root}/sensor_readings").collect()]
+
+    put(spark, folder, *[reading(1, risk_score=float(i % 90)) for i in range(500)], reading(1, risk_score=95.0))
+    assert stored() == [95.0]
+    put(spark, folder, reading(1, risk_score=7.0), reading(1, risk_score=3.0))
+    assert stored() == [3.0]
+
+
+def test_arrival_decides_whatever_the_partitions(spark):
+    versions = spark.range(2_000).select(
+        F.lit("Z1").alias("grid_id"), F.lit("b").alias("hour_bucket"), F.lit(START).alias("event_time"),
+        F.col("id").alias("arrival"), F.col("id").cast("double").alias("risk_score"))
+    for parts in (1, 4, 8):
+        path = new_folder(spark, "readings")
+        keyed.append_versions(versions.repartition(parts), path, 0)
+        assert [r.risk_score for r in keyed.read_latest(spark, path).collect()] == [1999.0]
+
+
+def test_a_bucket_reads_one_day(spark):
+    path = new_folder(spark, "readings")
+    rows = spark.range(200).select(
+        F.lit("Z1").alias("grid_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("event_time"))
+    keyed.append_versions(rows.withColumn("hour_bucket", hour_bucket(F.col("event_time"))), path, 0)
+    found = access.newest_in_bucket(keyed.read_latest(spark, path), "Z1", "2024-01-03T05:00:00", 5)
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dia_evento" in plan
+
+
+def test_rows_without_a_zone_take_no_part_in_batch_either(spark):
+    sensors = spark.createDataFrame([("Z1", START, 10.0, 20.0, 50.0, 5.0), (None, START, 10.0, 20.0, 50.0, 5.0)],
+                                    "grid_id string, event_time timestamp, risk_score double, temp_celsius double, "
+                                    "humidity_pct double, wind_kmh double")
+    detections = spark.createDataFrame([], "grid_id string, event_time timestamp, frp double, brightness double")
+    forecasts = spark.createDataFrame([], "grid_id string, event_time timestamp, temp_max double, humidity_avg double, "
+                                      "wind_max_kmh double, precipitation_mm double")
+    assert {r.grid_id for r in w.composite(sensors, detections, forecasts).collect()} == {"Z1"}
+
+
 def test_running_counts_in_update_mode(spark):
     folder, out, checkpoint = (new_folder(spark, n) for n in ("sensors", "counts", "checkpoint"))
 
