@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hazardlake.llm import bpe
-from hazardlake.llm.common import column, ship
+from hazardlake.llm.common import column, enter, give_back, ship
 
 ENCODED = "n_tokens long, ids binary, ids_sha256 string, decoded string, decoded_sha256 string"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -18,6 +18,7 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def _codec(raw: bytes, full: bool):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enter("bpe", bpe.encoder.cache_clear)
         codec = bpe.encoder(raw)
         for texts in batches:
             rows = []
@@ -28,6 +29,7 @@ def _codec(raw: bytes, full: bool):
                        "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
                 rows.append(row | ({"ids": ids, "decoded": decoded} if full else {}))
             yield pa.array(rows, kind(full))
+        give_back()
 
     return run
 

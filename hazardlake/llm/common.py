@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazardlake.session import new_folder
@@ -36,6 +40,34 @@ def ship(spark: SparkSession) -> None:
     context._hazardlake_shipped = True
 
 
+_holder: tuple[str, Callable[[], object] | None] = ("", None)
+
+
+def enter(operator: str, drop: Callable[[], object] | None = None) -> None:
+    """Say in a Python worker whose work it does now; ``drop`` frees what that operator keeps there.
+
+    Workers outlive tasks and stages. Caches stay over the tasks of one operator and go when the
+    worker's next task is another one's.
+    """
+    global _holder
+    before, forget = _holder
+    if before == operator:
+        return
+    _holder = (operator, drop)
+    if forget:
+        forget()
+    give_back()
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system, which the allocators else keep for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hazardlake.llm import golomb
-from hazardlake.llm.common import is_marked, marks_of, settle, ship, stage, unpacked, with_marks, words_of
+from hazardlake.llm.common import enter, is_marked, marks_of, settle, ship, stage, unpacked, with_marks, words_of
 
 FINGERPRINT_BITS = 48  # false suspects cost a verification, nothing else
 
@@ -32,6 +32,7 @@ def _lowered(value) -> bytes:
 
 
 def _digest(texts: pa.Array) -> pa.Array:
+    enter("exact")
     shas = [hashlib.sha256(_lowered(t)).digest() for t in texts]
     prints = [int.from_bytes(s[:8], "big") >> (64 - FINGERPRINT_BITS) for s in shas]
     return pa.StructArray.from_arrays(

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hazardlake.llm import ecoc
-from hazardlake.llm.common import column, ship
+from hazardlake.llm.common import column, enter, give_back, ship
 
 MAX_LANGUAGES = 512
 SALTS = 1024  # first-level groups when counts of tasks are added up
@@ -27,6 +27,7 @@ def held_out(id_col: str) -> Column:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    enter("language")
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
@@ -37,6 +38,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 totals[lang] = found
     if totals:
         yield pa.RecordBatch.from_pydict({"lang": list(totals), "counts": [c.tobytes() for c in totals.values()]})
+    give_back()
 
 
 def _add(group: pd.DataFrame) -> pd.DataFrame:
@@ -67,6 +69,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def _predict(model: ecoc.Model):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enter("language")
         for texts in batches:
             langs, scores, doubts = [], [], []
             for lo in range(0, len(texts), ROWS):
@@ -84,6 +87,7 @@ def _predict(model: ecoc.Model):
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(doubts, pa.bool_())],
                 names=["lang", "score", "ambiguous"])
+        give_back()
 
     return run
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hazardlake.llm import minhash
 from hazardlake.llm.common import (
-    ROW_BITS, carried, is_marked, marks_of, settle, ship, stage, unpacked, with_marks,
+    ROW_BITS, carried, enter, is_marked, marks_of, settle, ship, stage, unpacked, with_marks,
 )
 from hazardlake.llm.graph import components
 
@@ -37,6 +37,7 @@ SKETCH = "digest binary, size int, signature binary, bands array<bigint>"
 
 
 def _sketch(texts: pa.Array) -> pa.Array:
+    enter("near", minhash.KNOWN.clear)
     digests, sizes, signatures, bands = [], [], [], []
     for text in texts:
         values = minhash.shingles(text.as_py() or "")
@@ -54,6 +55,7 @@ def _sketch(texts: pa.Array) -> pa.Array:
 
 
 def _shingles(texts: pa.Array) -> pa.Array:
+    enter("near", minhash.KNOWN.clear)
     return pa.array([minhash.shingles(t.as_py() or "").tobytes() for t in texts], pa.binary())
 
 
