@@ -10,9 +10,11 @@ and documents are range-sorted by position.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazardlake.llm.common import column, settle
+from hazardlake.llm.common import carried, column, settle, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_DIGITS = 3  # hex digits of the order key: 4096 blocks per source
@@ -27,15 +29,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, **extra: Column) -> DataFrame:
-    """Documents with their source key, size and place in the source's order, written once."""
-    order = F.md5(F.coalesce(column(id_col).cast("string"), F.lit("")))
-    return settle(docs.select(
-        column(id_col).alias("id"), column(source_col).cast("string").alias("source"),
-        F.coalesce(column(source_col).cast("string"), F.lit("")).alias("src"), column(source_col).isNull().alias("none"),
-        word_count(column(text_col)).alias("size"), order.alias("key"),
-        F.substring(order, 1, BLOCK_DIGITS).alias("block"), F.crc32(F.coalesce(column(text_col), F.lit(""))).alias("crc"),
-        *[value.alias(name) for name, value in extra.items()]), "mixing")
+def _measures(of: Callable[[str], Column], id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """What the mix needs to know of a document: its source key, size and place in the source's order."""
+    order = F.md5(F.coalesce(of(id_col).cast("string"), F.lit("")))
+    return {
+        "id": of(id_col), "source": of(source_col).cast("string"),
+        "src": F.coalesce(of(source_col).cast("string"), F.lit("")), "none": of(source_col).isNull(),
+        "size": word_count(of(text_col)), "key": order, "block": F.substring(order, 1, BLOCK_DIGITS),
+        "crc": F.crc32(F.coalesce(of(text_col), F.lit("")))}
 
 
 def default_schedules(sources: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def targets(schedules: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-          schedules=default_schedules, **extra: Column) -> DataFrame:
+          schedules=default_schedules) -> DataFrame:
     """Each document with its size, its source's size and target, and how many copies the mix takes.
 
     ``schedules`` maps the sources (src, none, total) to knots: arrays ``times`` from 0 to 1 and
@@ -92,7 +93,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     come first in the order, rows that repeat an id stand beside each other, an empty table gives
     no rows.
     """
-    sized = _sized(docs, id_col, text_col, source_col, **extra)
+    measures = _measures(column, id_col, text_col, source_col)
+    return _placed(settle(docs.select(*[value.alias(name) for name, value in measures.items()]), "mixing"), schedules)
+
+
+def _placed(sized: DataFrame, schedules, *ties: str) -> DataFrame:
+    """Measured documents with the plan of their source, their start in its order and their copies."""
     blocks = sized.groupBy("src", "none", "block").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("src", "none").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("src", "none", "block", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
@@ -100,7 +106,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     # at most 4096 rows per source
     plan = settle(offsets.join(targets(integrated(schedules(sources))), ["src", "none"]), "mixing-plan")
     # a block holds 1 / 4096 of its source
-    rows = Window.partitionBy("src", "none", "block").orderBy("key", "size", "crc").rowsBetween(
+    rows = Window.partitionBy("src", "none", "block").orderBy("key", "size", "crc", *ties).rowsBetween(
         Window.unboundedPreceding, -1)
     placed = sized.withColumn("start", F.coalesce(F.sum("size").over(rows), F.lit(0))) \
         .join(plan, ["src", "none", "block"]).withColumn("start", F.col("start") + F.col("offset"))
@@ -128,14 +134,23 @@ def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               schedules=default_schedules) -> DataFrame:
     """The mix itself: every copy of every document with its training position, range-sorted by it.
 
-    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy``.
+    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy``. Positions are worked
+    out on measures alone; whole rows move once, to their place.
     """
     names = docs.columns
-    rows = mixed(docs, id_col, text_col, source_col, schedules, row=F.struct(*[column(c) for c in names]))
-    copies = rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    demand = ((F.col("copy") - 1) * F.col("total") + F.col("start") + F.col("size") / 2) / F.col("target")
-    placed = copies.withColumn("at", F.coalesce(position(F.least(F.lit(1.0), demand)), F.lit(0.0)))
-    ordered = placed.repartitionByRange("at", "key", "copy").sortWithinPartitions("at", "key", "copy")
+    staged = stage(docs, "mixing", **_measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col))
+    rows = _placed(staged.drop("row"), schedules, "sender", "seq").filter("copies > 0")
+
+    def at(copy: int) -> Column:
+        demand = (F.col("start") + F.col("size") / 2 + F.col("total") * (copy - 1)) / F.col("target")
+        return F.coalesce(position(F.least(F.lit(1.0), demand)), F.lit(0.0))
+
+    places = [f"at{copy}" for copy in range(1, MAX_COPIES + 1)]
+    placed = settle(rows.select("sender", "seq", "copies", *[at(i).alias(p) for i, p in enumerate(places, 1)]), "mixing-at")
+    copies = carried(staged.select("sender", "seq", "row", "key"), placed, ["copies", *places]).select(
+        "row", "key", F.posexplode(F.slice(F.array(*places), 1, F.col("copies"))).alias("copy", "at")) \
+        .withColumn("copy", F.col("copy") + 1)
+    ordered = copies.repartitionByRange("at", "key", "copy").sortWithinPartitions("at", "key", "copy")
     return ordered.select(*[F.col("row").getField(c).alias(c) for c in names],
                           F.col("at").alias("mix_position"), F.col("copy").alias("mix_copy"))
 
