@@ -40,7 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, verified by decoding them again."""
-    encoded = bpe_codec.encoded(docs.select("doc_id", "lang", "source", "text"), tokenizer_file(BPE_FILE))
+    wanted = docs.select("doc_id", "lang", "source", "text")
+    encoded = bpe_codec.encoded(wanted, tokenizer_file(BPE_FILE), large=("ids",))
     return encoded.selectExpr("doc_id", "lang", "source", "bpe.n_tokens", "bpe.ids", "bpe.ids_sha256",
                               "bpe.decoded_sha256", "bpe.decoded_sha256 = sha2(coalesce(text, ''), 256) AS round_trip")
 

@@ -23,7 +23,7 @@ WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N
          r"|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 AT_EDGE = re.compile(rf"\A[{SPACE}]|[{SPACE}]\Z")
 
-GENERATION = 100_000  # entries; two generations of two caches take up to 100 MB, which a worker keeps
+GENERATION = 100_000  # entries; two generations of two caches take up to 100 MB while a worker encodes
 PAIRS = 300_000  # tested pairs that are remembered
 
 
@@ -117,12 +117,13 @@ class Encoder:
                 continue
             begin = end - length
             if begin:
-                before = last[begin]
-                holds = known.get((before, token))
-                if holds is None:
+                pair = last[begin], token
+                try:
+                    holds = known[pair]
+                except KeyError:
                     if len(known) >= PAIRS:
                         known.clear()
-                    holds = known[before, token] = self._boundary_holds(before, token)
+                    holds = known[pair] = self._boundary_holds(*pair)
                 if not holds:
                     continue
             last[end], start[end] = token, begin
@@ -153,7 +154,9 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if not piece or AT_EDGE.search(piece):
             raise Loose
-        return self._loose(" " + piece)
+        words = self.find_words(" " + piece)
+        # most pieces are one word and need no second entry
+        return self._packed(words[0]) if len(words) == 1 else b"".join(map(self.words.__getitem__, words))
 
     def _plain(self, text: str) -> bytes:
         # A space with no other white space beside it always starts a word, so the text may be

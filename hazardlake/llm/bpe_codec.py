@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 from hazardlake.llm import bpe
 from hazardlake.llm.common import column, enter, give_back, ship
 
-ENCODED = "n_tokens long, ids binary, ids_sha256 string, decoded string, decoded_sha256 string"
-DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+FIELDS = {"n_tokens": "long", "ids": "binary", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
+LARGE = ("ids", "decoded")  # fields that come only when asked for
+KINDS = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
 
 
-def _codec(raw: bytes, full: bool):
+def _codec(raw: bytes, fields: dict[str, str]):
+    kind = pa.struct([(name, KINDS[of]) for name, of in fields.items()])
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enter("bpe", bpe.encoder.cache_clear)
         codec = bpe.encoder(raw)
@@ -25,31 +28,25 @@ def _codec(raw: bytes, full: bool):
             for text in texts:
                 ids = codec.encode(text.as_py() or "")
                 decoded = codec.decode(ids)
-                row = {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
-                       "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
-                rows.append(row | ({"ids": ids, "decoded": decoded} if full else {}))
-            yield pa.array(rows, kind(full))
+                row = {"n_tokens": len(ids) // 4, "ids": ids, "ids_sha256": hashlib.sha256(ids).hexdigest(),
+                       "decoded": decoded, "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
+                rows.append({name: row[name] for name in fields})
+            yield pa.array(rows, kind)
         give_back()
 
     return run
 
 
-def kind(full: bool) -> pa.DataType:
-    digests = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    if not full:
-        return pa.struct(digests)
-    return pa.struct([digests[0], ("ids", pa.binary()), digests[1], ("decoded", pa.string()), digests[2]])
-
-
-def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", full: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", large: tuple[str, ...] = LARGE) -> DataFrame:
     """Each row with a struct ``bpe``: ids, their number and digest, the decoded text and its digest.
 
     ``vocabulary`` is the JSON file of a byte-level BPE tokenizer; the driver reads it and sends it
     along. Special strings in a text become their single ids. Null counts as empty and gives
-    no ids; rows, ties and other columns pass through as they are; no text is cut. With
-    ``full`` off only the number and the digests are returned.
+    no ids; rows, ties and other columns pass through as they are; no text is cut. Of the large
+    fields ``ids`` and ``decoded`` those in ``large`` are returned.
     """
     ship(docs.sparkSession)
     raw = Path(vocabulary).read_bytes()
-    udf = F.arrow_udf(_codec(raw, full), ENCODED if full else DIGESTS)
+    fields = {name: of for name, of in FIELDS.items() if name not in LARGE or name in large}
+    udf = F.arrow_udf(_codec(raw, fields), ", ".join(f"{name} {of}" for name, of in fields.items()))
     return docs.select("*", udf(column(text_col)).alias("bpe"))

@@ -59,7 +59,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe_codec.encoded(documents, tokenizer_file(BPE_FILE), full=False).select("doc_id", "bpe.*")
+    return bpe_codec.encoded(documents, tokenizer_file(BPE_FILE), large=()).select("doc_id", "bpe.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
