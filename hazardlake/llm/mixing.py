@@ -130,33 +130,54 @@ def position(demand: Column) -> Column:
     return F.least(F.lit(1.0), begin + F.when(rate + root > 0, left * 2 / (rate + root)).otherwise(0.0))
 
 
-def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-              schedules=default_schedules) -> DataFrame:
-    """The mix itself: every copy of every document with its training position, range-sorted by it.
+def _dealt(staged: DataFrame, rows: DataFrame, *parts: int) -> DataFrame:
+    """Every copy of every staged row (sender, seq, row) with its training position ``at``, range-sorted by it.
 
-    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy``. Positions are worked
-    out on measures alone; whole rows move once, to their place.
+    A number of ``parts`` keeps small ranges from being merged into larger tasks.
     """
-    names = docs.columns
-    staged = stage(docs, "mixing", **_measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col))
-    rows = _placed(staged.drop("row"), schedules, "sender", "seq").filter("copies > 0")
-
     def at(copy: int) -> Column:
         demand = (F.col("start") + F.col("size") / 2 + F.col("total") * (copy - 1)) / F.col("target")
         return F.coalesce(position(F.least(F.lit(1.0), demand)), F.lit(0.0))
 
     places = [f"at{copy}" for copy in range(1, MAX_COPIES + 1)]
-    placed = settle(rows.select("sender", "seq", "copies", *[at(i).alias(p) for i, p in enumerate(places, 1)]), "mixing-at")
+    placed = settle(rows.filter("copies > 0").select(
+        "sender", "seq", "copies", *[at(i).alias(p) for i, p in enumerate(places, 1)]), "mixing-at")
     copies = carried(staged.select("sender", "seq", "row", "key"), placed, ["copies", *places]).select(
-        "row", "key", F.posexplode(F.slice(F.array(*places), 1, F.col("copies"))).alias("copy", "at")) \
+        "sender", "seq", "row", "key", F.posexplode(F.slice(F.array(*places), 1, F.col("copies"))).alias("copy", "at")) \
         .withColumn("copy", F.col("copy") + 1)
-    ordered = copies.repartitionByRange("at", "key", "copy").sortWithinPartitions("at", "key", "copy")
-    return ordered.select(*[F.col("row").getField(c).alias(c) for c in names],
+    return copies.repartitionByRange(*parts, "at", "key", "copy").sortWithinPartitions("at", "key", "copy")
+
+
+def _staged(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return stage(docs, "mixing", **_measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col))
+
+
+def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+              schedules=default_schedules) -> DataFrame:
+    """The mix itself: every copy of every document with its training position, range-sorted by it.
+
+    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy``. Positions are worked
+    out on measures alone; whole rows move once, to their place.
+    """
+    staged = _staged(docs, id_col, text_col, source_col)
+    ordered = _dealt(staged, _placed(staged.drop("row"), schedules, "sender", "seq"))
+    return ordered.select(*[F.col("row").getField(c).alias(c) for c in docs.columns],
                           F.col("at").alias("mix_position"), F.col("copy").alias("mix_copy"))
 
 
-def taken(docs: DataFrame) -> DataFrame:
-    """One row per document: how many words of it the mix takes, repeats counted."""
-    return mixed(docs).select(
+def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          schedules=default_schedules) -> DataFrame:
+    """One row per document: how many words of it the mix takes, repeats counted.
+
+    The mix is written in training order, and words and copies are counted in what was written, by
+    the address of the document. Documents that the mix leaves out have none.
+    """
+    staged = _staged(docs, id_col, text_col, source_col)
+    rows = _placed(staged.drop("row"), schedules, "sender", "seq")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mix = settle(_dealt(staged, rows, parts), "mixing-mix")
+    counted = mix.groupBy("sender", "seq").agg(
+        F.count("*").cast("int").alias("counted"), F.sum(word_count(F.col("row").getField(text_col))).alias("words"))
+    return rows.join(counted, ["sender", "seq"], "left").select(
         F.col("id").alias("doc_id"), "size", F.col("total").alias("source_size"), "target",
-        (F.col("size") * F.col("copies")).alias("taken"), "copies")
+        F.coalesce("words", F.lit(0)).cast("bigint").alias("taken"), F.coalesce("counted", F.lit(0)).alias("copies"))

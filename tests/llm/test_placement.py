@@ -101,6 +101,29 @@ def test_mix(request, table):
     assert Counter(r.doc_id for r in rows) == sum((Counter({r.doc_id: r.copies}) for r in taken), Counter())
 
 
+def test_mixing_query_counts_what_the_written_mix_holds(spark, documents, monkeypatch):
+    written = {}
+    settle = mixing.settle
+    monkeypatch.setattr(mixing, "settle", lambda df, label: written.setdefault(label, settle(df, label)))
+    taken = queries.op8_mixing(spark, SF).collect()
+    mix = written["mixing-mix"].withColumn("file", F.input_file_name())
+    rows = mix.select("row.*", "at", "file").collect()
+    places = defaultdict(list)
+    for r in rows:
+        places[r.file].append(r.at)
+    assert all(p == sorted(p) for p in places.values())
+    spans = sorted((p[0], p[-1]) for p in places.values())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    expected = mixing.scheduled(documents)
+    assert Counter((r.doc_id, r.text, r.at) for r in rows) == Counter(
+        (r.doc_id, r.text, r.mix_position) for r in expected.collect())
+    # a copy that the mix loses is lost to the query
+    monkeypatch.setattr(mixing, "settle", lambda df, label: settle(df, label).filter(
+        "copy = 1") if label == "mixing-mix" else settle(df, label))
+    fewer = {r.doc_id: r.copies for r in queries.op8_mixing(spark, SF).collect()}
+    assert max(r.copies for r in taken) == 2 and fewer == {r.doc_id: min(r.copies, 1) for r in taken}
+
+
 def test_sources_come_near_their_targets(documents):
     rows = mixing.mixed(documents).groupBy("source").agg(
         F.max("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken"),
