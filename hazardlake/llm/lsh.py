@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from math import erf, log, sqrt
+from math import ceil, erf, log, sqrt
 from typing import NamedTuple
 
 import numpy as np
 
-OFFSETS = (-2, -1, 0, 1, 2)
+REACH = 2  # cells to each side that probes go at least
+DEVIATIONS = 3  # standard deviations of a projection that they go at least
 
 
 class Tables(NamedTuple):
@@ -17,7 +18,7 @@ class Tables(NamedTuple):
     directions: np.ndarray  # tables x functions x dimension
     shifts: np.ndarray  # tables x functions
     width: float
-    radius: float  # distance of the neighbours that are looked for
+    radius: float  # distance of the neighbours that are looked for; rounds after the first have one per query
     success: float  # estimated probability per table at which probing stops
 
 
@@ -80,9 +81,10 @@ def probes(inside: np.ndarray, hashes: Tables) -> Iterator[tuple[float, tuple[in
     def cumulative(x: float) -> float:
         return 0.5 * (1 + erf(x * hashes.width / hashes.radius / sqrt(2)))
 
+    reach = max(REACH, ceil(DEVIATIONS * hashes.radius / hashes.width))
     ranked = []
     for x in inside:
-        chances = [(cumulative(o + 1 - x) - cumulative(o - x), o) for o in OFFSETS]
+        chances = [(cumulative(o + 1 - x) - cumulative(o - x), o) for o in range(-reach, reach + 1)]
         ranked.append(sorted(chances, reverse=True))
     ranked_best = float(np.prod([r[0][0] for r in ranked]))
     heap = [(-ranked_best, (0,) * len(ranked), 0)]
@@ -91,7 +93,20 @@ def probes(inside: np.ndarray, hashes: Tables) -> Iterator[tuple[float, tuple[in
         yield -chance, tuple(ranked[f][r][1] for f, r in enumerate(ranks))
         # each combination is reached once: only functions from the last changed one on move further
         for f in range(first, len(ranks)):
-            if ranks[f] + 1 < len(OFFSETS):
+            if ranks[f] + 1 < len(ranked[f]):
                 now, then = ranked[f][ranks[f]][0], ranked[f][ranks[f] + 1][0]
                 if then > 0:
                     heapq.heappush(heap, (chance / now * then, ranks[:f] + (ranks[f] + 1,) + ranks[f + 1:], f))
+
+
+def visited(inside: np.ndarray, hashes: Tables, limit: int | None = None) -> list[tuple[int, ...]] | None:
+    """Offsets in the order of probing until their chances add up to the wanted success; None past the limit."""
+    offsets, total = [], 0.0
+    for chance, offset in probes(inside, hashes):
+        if limit is not None and len(offsets) >= limit:
+            return None
+        offsets.append(offset)
+        total += chance
+        if total >= hashes.success:
+            return offsets
+    return offsets if limit is None else None

@@ -2,7 +2,9 @@
 
 Every vector is put in one bucket per table. A query visits its own and perturbed buckets in the
 order of the estimated chance that they hold a neighbour, until the chances add up to the
-wanted success. Buckets are stored in blocks of bounded size, queries that visit a bucket
+wanted success for neighbours at the sample's typical distance. Queries whose k-th neighbour is
+farther away than that go on probing for the distance they found, and are compared with all rows
+where that takes too many buckets. Buckets are stored in blocks of bounded size, queries that visit a bucket
 come in blocks too, and a task compares a block of the one with a block of the other; only the
 best of each query and block leave it. Distances are exact, on the original vectors.
 """
@@ -23,6 +25,8 @@ BUCKET = 1024  # rows per bucket that the number of hash functions aims at: four
 BLOCK = 256  # vectors or queries in a block
 BUFFER = 200_000  # results that a task merges before it passes them on
 TABLES = 4
+PROBES = 512  # buckets of a table that a query visits at most in its second round
+FARTHEST = 16  # in widths of a cell: queries whose k-th neighbour is farther away are compared with all
 RECALL = 0.97
 
 
@@ -60,12 +64,7 @@ def _visit(hashes: lsh.Tables):
             cells, inside = lsh.buckets(_matrix(batch["vector"]), hashes)
             for row in range(batch.num_rows):
                 for table in range(cells.shape[1]):
-                    offsets, total = [], 0.0
-                    for chance, offset in lsh.probes(inside[row, table], hashes):
-                        offsets.append(offset)
-                        total += chance
-                        if total >= hashes.success:
-                            break
+                    offsets = lsh.visited(inside[row, table], hashes)
                     keys = lsh.key(cells[row, table] + np.array(offsets, np.int64))
                     one = pa.array(np.full(len(keys), row))
                     yield pa.RecordBatch.from_arrays(
@@ -75,6 +74,36 @@ def _visit(hashes: lsh.Tables):
     return run
 
 
+def _revisit(hashes: lsh.Tables, limit: int):
+    """Further buckets of each query for its own radius. Table -1 stands for a comparison with all rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, inside = lsh.buckets(_matrix(batch["vector"]), hashes)
+            for row, radius in enumerate(batch["radius"].to_pylist()):
+                own, names, keys = hashes._replace(radius=radius), [], []
+                for table in range(cells.shape[1]):
+                    wider = None
+                    if radius <= FARTHEST * hashes.width:
+                        wider = lsh.visited(inside[row, table], own, limit)
+                    if wider is None:
+                        names, keys = [-1], [np.zeros(1, np.int64)]
+                        break
+                    before = set(lsh.visited(inside[row, table], hashes))
+                    fresh = [offset for offset in wider if offset not in before]
+                    if fresh:
+                        keys.append(lsh.key(cells[row, table] + np.array(fresh, np.int64)))
+                        names += [table] * len(fresh)
+                if names:
+                    one = pa.array(np.full(len(names), row))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names, pa.int32()), pa.array(np.concatenate(keys)), batch["query_id"].take(one)],
+                        names=["t", "key", "query_id"])
+
+    return run
+
+
 def _top(found: list[np.ndarray], k: int) -> list[np.ndarray]:
     """Of queries, ids and distances the k nearest ids of each query, each id once."""
     query, vector, score = found
@@ -150,7 +179,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     zero, of another length than most or not finite throughout take no part, nor do rows without an id.
     Rows that repeat an id are one vector as far as results go: a query never finds its own id.
     Equal vectors are one entry of the index with the k + 1 least of their ids, which is all that
-    any result can hold. A query for which probing finds fewer than k is compared with all rows.
+    any result can hold. A query whose k-th neighbour found lies beyond the radius of the sample goes on
+    probing for that distance. One that needs too many buckets then, or for which probing finds fewer than
+    k, is compared with all rows.
     An empty table gives no rows.
     """
     spark = vectors.sparkSession
@@ -176,19 +207,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     queries = settle(rows.filter("is_query").groupBy("id").agg(F.min("vector").alias("vector"))
                      .select(F.col("id").alias("query_id"), "vector"), "lsh-queries")
     visits = queries.mapInArrow(_visit(hashes), "t int, key bigint, query_id bigint")
-    # buckets that hold nothing are not visited
-    held = visits.join(stored.select("t", "key").distinct(), ["t", "key"], "left_semi")
-    visitors = _blocks(held.join(queries, "query_id"), ["t", "key"], "query_id", "visitors", ["query_id", "vector"])
-    compared = visitors.join(stored, ["t", "key"]).select("rows", "visitors").mapInArrow(_compare(k), FOUND)
-    found = settle(_best(compared, k), "lsh-found")
-
-    # an exact pass, in blocks, for queries that found too few
-    enough = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
+
+    def probed(visits: DataFrame) -> DataFrame:
+        # buckets that hold nothing are not visited
+        held = visits.join(stored.select("t", "key").distinct(), ["t", "key"], "left_semi")
+        visitors = _blocks(held.join(queries, "query_id"), ["t", "key"], "query_id", "visitors", ["query_id", "vector"])
+        compared = visitors.join(stored, ["t", "key"]).select("rows", "visitors").mapInArrow(_compare(k), FOUND)
+        return settle(_best(compared, k), "lsh-found")
+
+    near = probed(visits)
+    # the k-th distance found is not below the true one, so probing for it is enough
+    reached = near.filter(F.col("rank") == k).select("query_id", F.col("score").alias("radius"))
+    limit = min(PROBES, -(-total // BUCKET))
+    again = settle(queries.join(reached.filter(F.col("radius") > hashes.radius), "query_id").mapInArrow(
+        _revisit(hashes, limit), "t int, key bigint, query_id bigint"), "lsh-again")
+    wider = probed(again.filter("t >= 0"))
+
+    # an exact pass, in blocks, for queries that found too few or would need too many buckets
+    enough = reached.select("query_id").join(again.filter("t < 0").select("query_id"), "query_id", "left_anti")
+    found = _best(near.join(enough, "query_id", "left_semi").select("query_id", "vec_id", "score").unionByName(
+        wider.select("query_id", "vec_id", "score")), k)
     poor = queries.join(enough, "query_id", "left_anti")
-    one_table = stored.filter("t = 0").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64)))
+    one_table = stored.filter("t = 0").withColumn(
+        "part", F.pmod(F.xxhash64("key", F.get("rows", F.lit(0)).getField("ids")), F.lit(64)))
     everywhere = poor.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))))
     rest = _blocks(everywhere, ["part"], "query_id", "visitors", ["query_id", "vector"]) \
         .join(one_table, "part").select("rows", "visitors").mapInArrow(_compare(k), FOUND)
     exact = _best(rest, k)
-    return found.join(enough, "query_id", "left_semi").select("query_id", "rank", "vec_id", "score").unionByName(
+    return found.select("query_id", "rank", "vec_id", "score").unionByName(
         exact.select("query_id", "rank", "vec_id", "score"))

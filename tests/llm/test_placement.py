@@ -6,6 +6,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +190,27 @@ def test_neighbours(spark):
     assert sum(len(set(found[q]) & set(brute[q])) for q in brute) / sum(map(len, brute.values())) >= 0.9
 
 
+@pytest.mark.parametrize("jitter", [0.05, 0.02])
+def test_neighbours_of_dense_and_diffuse_vectors(spark, tmp_path, jitter):
+    rng = np.random.default_rng(3)
+    n = 5 * neighbours.SAMPLE
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    dense = unit(rng.standard_normal((20, 64)))[rng.integers(0, 20, n * 6 // 10)] + jitter * rng.standard_normal((n * 6 // 10, 64))
+    points = unit(np.concatenate([dense, rng.standard_normal((n * 4 // 10, 64))])).astype(np.float32)
+    ids = rng.permutation(n)
+    pq.write_table(pa.table({"vec_id": ids, "embedding": list(points)}), tmp_path / "vectors.parquet")
+    found = defaultdict(set)
+    for r in neighbours.nearest(spark.read.parquet(str(tmp_path / "vectors.parquet")), F.col("vec_id") % 100 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = {True: [], False: []}
+    wide = points.astype(np.float64)
+    for place in np.flatnonzero(ids % 100 == 0):
+        distance = ((wide - wide[place]) ** 2).sum(axis=1)
+        distance[place] = np.inf
+        hits[bool(place < len(dense))].append(len(found[ids[place]] & set(ids[np.argsort(distance)[:10]])) / 10)
+    assert all(np.mean(part) >= 0.9 for part in hits.values()), {k: np.mean(v) for k, v in hits.items()}
+
+
 def test_neighbours_of_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(int(i), [float(x) for x in rng.standard_normal(64)]) for i in range(95, 130)]
