@@ -2,18 +2,20 @@
 
 The sort key is (hash of the text, hash of the id). Splitters are found by counting the exact
 bytes below evenly spaced probes of the key, first over its whole range, then within the probe
-interval that holds a wanted splitter, until every splitter is within the tolerance. Then
-rows are exchanged once. Equal texts stay in one shard, unless the copies of one text take a larger
+interval that holds a wanted splitter, until every splitter is within the tolerance. Then whole
+rows are exchanged once, by range of shard and key, and written as one set of files per shard. Equal texts stay in one shard, unless the copies of one text take a larger
 part of a shard; only then do probes go on into the second half of the key.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazardlake.llm.common import column, settle
+from hazardlake.llm.common import SCRATCH_CODEC, column, settle
+from hazardlake.session import new_folder
 
 SHARDS = 16
 DIGIT = 12  # bits of the key that one round of probes resolves
@@ -44,13 +46,18 @@ def _prefix(half: str, level: int) -> Column:
     return F.shiftright(half, HALF - DIGIT * level) if level else F.lit(0).cast("bigint")
 
 
+def _size(text: Column) -> Column:
+    return (F.octet_length(F.coalesce(text, F.lit(""))) + 1).cast("bigint")
+
+
+def _key(of: Callable[[str], Column], id_col: str, text_col: str) -> dict[str, Column]:
+    return {"text_hash": F.xxhash64(F.coalesce(of(text_col), F.lit(""))), "id_hash": F.xxhash64(of(id_col))}
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, key and measures of each document, written once."""
-    text = F.coalesce(column(text_col), F.lit(""))
-    return settle(docs.select(
-        column(id_col).alias("id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(text).alias("crc"), F.xxhash64(text).alias("text_hash"),
-        F.xxhash64(column(id_col)).alias("id_hash")), "shards")
+    """Key and size of each document, written once."""
+    key = _key(column, id_col, text_col)
+    return settle(docs.select(_size(column(text_col)).alias("size"), *[k.alias(n) for n, k in key.items()]), "shards")
 
 
 LEVELS = -(-HALF // DIGIT)
@@ -132,49 +139,48 @@ def _shard(first_keys: list[Splitter]) -> Column:
     return sum(reached, F.lit(0))
 
 
-def _sliced(rows: DataFrame) -> DataFrame:
-    """Rows with the slice (c, p, g) of their shard in which they are put in order.
+def _exchanged(docs: DataFrame, first_keys: list[Splitter], id_col: str, text_col: str) -> DataFrame:
+    """Whole rows (row) in the files of their shard, with the task that wrote them (part) and their place there.
 
-    A slice is a cell of the first 12 bits of the text hash. A text that alone holds more rows than
-    an average cell splits its cell and is itself sliced by the id hash. There are at most 4096 such
-    texts, whatever the size of the input, so the list of them is broadcast.
+    Tasks hold ranges of (shard, key) in rising order, sorted. Small ranges are not merged, so a task's rows stay few.
     """
-    cell = _digit("text_hash", 0).alias("c")
-    totals = rows.groupBy(cell).agg(F.count("*").alias("n"))
-    least = F.greatest(F.lit(1000), F.ceil(totals.agg(F.sum("n")).scalar() / CELLS))
-    heavy = totals.filter(F.col("n") > least).select("c")
-    hot = rows.select("text_hash", cell).join(F.broadcast(heavy), "c").groupBy("c", "text_hash").agg(
-        F.count("*").alias("n")).filter(F.col("n") > least)
-    pivots = hot.groupBy("c").agg(F.sort_array(F.collect_list("text_hash")).alias("pivots"))
-    placed = rows.withColumn("c", _digit("text_hash", 0)).join(F.broadcast(pivots), "c", "left")
-    passed = F.coalesce(F.size(F.filter("pivots", lambda h: h <= F.col("text_hash"))), F.lit(0))
-    is_hot = F.coalesce(F.array_contains("pivots", F.col("text_hash")), F.lit(False))
-    return placed.withColumn("p", F.when(F.col("pivots").isNull(), 0).otherwise(passed)).withColumn(
-        "g", F.when(is_hot, _digit("id_hash", 0)).otherwise(CELLS)).drop("pivots")
+    spark = docs.sparkSession
+    key = _key(lambda c: F.col("row").getField(c), id_col, text_col)
+    order = ["shard", *key]
+    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row")).select(
+        "row", *[k.alias(n) for n, k in key.items()]).withColumn("shard", _shard(first_keys).cast("int"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
+        "row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"), "shard")
+    path = new_folder(spark, "sharded")
+    placed.write.partitionBy("shard").parquet(path, compression=SCRATCH_CODEC)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """One row per document: its shard, and its gapless slot there in the order of the key.
+    """The sharded documents: whole rows, read from the files of their shard, with their slot there.
 
-    A document's size is its UTF-8 bytes plus one; a null text has none and counts as empty, null ids
-    have a key like any other. Shards differ from an equal share by the tolerance at each end,
+    The columns of ``docs`` come back with ``shard_number`` and ``shard_slot``, which has no gaps and follows
+    the order of the key. A document's size is its UTF-8 bytes plus one; a null text has none and counts as empty,
+    null ids have a key like any other. Shards differ from an equal share by the tolerance at each end,
     or by the one document, or the copies of the one text, at the border. Rows that repeat both id and text have one
-    key and are not parted; their slots are in no fixed order. An empty table gives no rows.
+    key and are not parted; their slots are in no fixed order. ``docs`` is read twice. An empty table gives no rows.
     """
-    rows = keyed(docs, id_col, text_col)
-    placed = _sliced(rows.withColumn("shard", _shard(splitters(rows, shards, tolerance)).cast("int")))
-    part = ["shard", "c", "p", "g"]
-    counts = placed.groupBy(*part).agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("c", "p", "g").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per slice
-    offsets = counts.select(*part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    order = Window.partitionBy(*part).orderBy("text_hash", "id_hash", "id", "crc")
-    return placed.withColumn("rank", F.row_number().over(order)).join(offsets, part).select(
-        "id", "size", "crc", "shard", (F.col("offset") + F.col("rank") - 1).alias("slot"))
+    first_keys = splitters(keyed(docs, id_col, text_col), shards, tolerance)
+    rows = _exchanged(docs, first_keys, id_col, text_col)
+    # a row per task and shard; a task's rows of a shard stand together
+    runs = rows.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select("shard", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("offset"))
+    return rows.join(F.broadcast(offsets), ["shard", "part"]).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns],
+        F.col("shard").alias("shard_number"), (F.col("place") + F.col("offset")).alias("shard_slot"))
 
 
 def placements(docs: DataFrame) -> DataFrame:
+    """Where each document went, with size and checksum of the text that its shard holds."""
     return sharded(docs).select(
-        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+        "doc_id", _size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.col("shard_number").alias("shard"), F.col("shard_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))

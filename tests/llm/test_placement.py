@@ -145,6 +145,20 @@ def test_shards(request, table):
     assert all(sorted(s) == list(range(len(s))) and 0 <= shard < 16 for shard, s in slots.items())
 
 
+@pytest.mark.parametrize("table", ["documents", "odd", "empty"])
+def test_sharded_rows_are_whole_and_in_their_shards_files(request, table):
+    docs = request.getfixturevalue(table)
+    out = sharding.sharded(docs)
+    assert out.columns == [*docs.columns, "shard_number", "shard_slot"]
+    rows = out.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("shard_number", "shard_slot").collect()
+    assert Counter(tuple(r)[:len(docs.columns)] for r in rows) == Counter(map(tuple, docs.collect()))
+    files = {int(f.split("/shard=")[1].split("/")[0]) for f in out.inputFiles() if "/shard=" in f}
+    assert files == {r.shard_number for r in rows}
+    assert [r.h for r in rows] == sorted(r.h for r in rows)  # shards and slots follow the key
+    assert Counter((r.doc_id, r.shard_number) for r in rows) == Counter(
+        (r.doc_id, r.shard) for r in sharding.placements(docs).collect())
+
+
 def test_shards_are_near_equal_with_a_hot_text(spark):
     docs = spark.range(30000).select(
         F.col("id").alias("doc_id"),
