@@ -1,20 +1,20 @@
 """Sharding by histogram sort, in DataFrame functions only. Law ``bytes``: shard sizes are near equal.
 
-The sort key is (hash of the text, hash of the id). Splitters are found by counting the exact
-bytes below evenly spaced probes of the key, first over its whole range, then within the probe
-interval that holds a wanted splitter, until every splitter is within the tolerance. Then whole
-rows are exchanged once, by range of shard and key, and written as one set of files per shard. Equal texts stay in one shard, unless the copies of one text take a larger
-part of a shard; only then do probes go on into the second half of the key.
+The sort key is (hash of the text, hash of the id, hash of the row's address). Splitters are found by
+counting the exact bytes below evenly spaced probes of the key, first over its whole range, then within
+the probe interval that holds a wanted splitter, until every splitter is within the tolerance. Then whole
+rows are exchanged once, by range of shard and key, and written as one set of files per shard. Equal texts
+stay in one shard, unless the copies of one text take a larger part of a shard; only then do probes go on
+into the second part of the key, and into the third where rows that repeat both take that much.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazardlake.llm.common import SCRATCH_CODEC, column, settle
+from hazardlake.llm.common import SCRATCH_CODEC, stage
 from hazardlake.session import new_folder
 
 SHARDS = 16
@@ -22,45 +22,44 @@ DIGIT = 12  # bits of the key that one round of probes resolves
 CELLS = 1 << DIGIT
 TOLERANCE = 0.002  # of a shard's bytes
 WHOLE = 0.05  # of a shard's bytes: copies of a text that take no more stay in one shard
-HALF = 64  # bits of each half of the key
-LOWEST = -(1 << 63)
+BITS = 64  # of each part of the key
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+PARTS = ("text_hash", "id_hash", "row_hash")
 
 
 class Splitter(NamedTuple):
-    """The first key of a shard; both halves are signed 64-bit numbers."""
+    """The first key of a shard; its parts are signed 64-bit numbers."""
     text_hash: int
     id_hash: int
+    row_hash: int
 
 
-def _digit(half: str, level: int) -> Column:
+def _digit(part: str, level: int) -> Column:
     """Bits of one level from the top, in the order of the signed value."""
-    shift = max(HALF - DIGIT * (level + 1), 0)
+    shift = max(BITS - DIGIT * (level + 1), 0)
     if level == 0:
-        return F.shiftright(half, shift) + CELLS // 2
-    width = min(DIGIT, HALF - DIGIT * level)
-    return F.shiftrightunsigned(half, shift).bitwiseAND((1 << width) - 1)
+        return F.shiftright(part, shift) + CELLS // 2
+    width = min(DIGIT, BITS - DIGIT * level)
+    return F.shiftrightunsigned(part, shift).bitwiseAND((1 << width) - 1)
 
 
-def _prefix(half: str, level: int) -> Column:
+def _prefix(part: str, level: int) -> Column:
     """All bits above a level."""
-    return F.shiftright(half, HALF - DIGIT * level) if level else F.lit(0).cast("bigint")
+    return F.shiftright(part, BITS - DIGIT * level) if level else F.lit(0).cast("bigint")
 
 
 def _size(text: Column) -> Column:
     return (F.octet_length(F.coalesce(text, F.lit(""))) + 1).cast("bigint")
 
 
-def _key(of: Callable[[str], Column], id_col: str, text_col: str) -> dict[str, Column]:
-    return {"text_hash": F.xxhash64(F.coalesce(of(text_col), F.lit(""))), "id_hash": F.xxhash64(of(id_col))}
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Key and size of each document, written once."""
-    key = _key(column, id_col, text_col)
-    return settle(docs.select(_size(column(text_col)).alias("size"), *[k.alias(n) for n, k in key.items()]), "shards")
+    """The rows, staged, with key and size of each."""
+    text, name = F.col("row").getField(text_col), F.col("row").getField(id_col)
+    return stage(docs, "sharding", size=_size(text), text_hash=F.xxhash64(F.coalesce(text, F.lit(""))),
+                 id_hash=F.xxhash64(name)).withColumn("row_hash", F.xxhash64("sender", "seq"))
 
 
-LEVELS = -(-HALF // DIGIT)
+LEVELS = -(-BITS // DIGIT)
 
 
 def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[Splitter]:
@@ -73,26 +72,26 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     allowed = tolerance * total / shards
     open_ = {n: (total * n / shards, 0, None) for n in range(1, shards)}  # target, bytes below the interval, prefix
     found: dict[int, Splitter] = {}
-    text_at: dict[int, int] = {}  # the one text in which a splitter must fall
-    for step in range(2 * LEVELS):
+    within: dict[int, tuple[int, ...]] = {}  # the one text, or text and id, in which a splitter must fall
+    for step in range(len(PARTS) * LEVELS):
         if not open_ or not total:
             break
-        half, level = ("text_hash", step) if step < LEVELS else ("id_hash", step - LEVELS)
-        shift = max(HALF - DIGIT * (level + 1), 0)
-        width = min(DIGIT, HALF - DIGIT * level)
-        keys = [F.lit(0).cast("bigint") if step < LEVELS else F.col("text_hash"), _prefix(half, level)]
-        wanted = sorted({(text_at.get(n, 0), prefix or 0) for n, (_, _, prefix) in open_.items()})
+        at_part, level = divmod(step, LEVELS)
+        part = PARTS[at_part]
+        shift = max(BITS - DIGIT * (level + 1), 0)
+        width = min(DIGIT, BITS - DIGIT * level)
+        keys = [k.alias(f"k{i}") for i, k in enumerate([*map(F.col, PARTS[:at_part]), _prefix(part, level)])]
+        wanted = sorted({(*within.get(n, ()), prefix or 0) for n, (_, _, prefix) in open_.items()})
         inside = rows
         if step:
-            inside = rows.filter(F.struct(keys[0].alias("t"), keys[1].alias("p")).isin(
-                *[F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(p).cast("bigint").alias("p")) for t, p in wanted]))
-        counted = inside.groupBy(keys[0].alias("t"), keys[1].alias("p"), _digit(half, level).alias("digit")).agg(
-            F.sum("size").alias("bytes")).collect()
-        cells: dict[tuple[int, int], dict[int, int]] = {}
+            inside = rows.filter(F.struct(*keys).isin(
+                *[F.struct(*[F.lit(v).cast("bigint").alias(f"k{i}") for i, v in enumerate(w)]) for w in wanted]))
+        counted = inside.groupBy(*keys, _digit(part, level).alias("digit")).agg(F.sum("size").alias("bytes")).collect()
+        cells: dict[tuple[int, ...], dict[int, int]] = {}
         for r in counted:
-            cells.setdefault((r.t, r.p), {})[r.digit] = r.bytes
+            cells.setdefault(tuple(r)[:len(keys)], {})[r.digit] = r.bytes
         for n, (target, below, prefix) in list(open_.items()):
-            held = cells[text_at.get(n, 0), prefix or 0]
+            held = cells[(*within.get(n, ()), prefix or 0)]
             start = below
             for digit in sorted(held):
                 after = start + held[digit]
@@ -103,52 +102,52 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
             low_first = target - start <= after - target
             for bytes_below, at in ((start, digit), (after, digit + 1))[::1 if low_first else -1]:
                 if abs(bytes_below - target) <= allowed:
-                    found[n] = _probe(half, level, text_at.get(n), prefix, at, shift, width)
+                    found[n] = _probe(level, within.get(n, ()), prefix, at, shift, width)
                     del open_[n]
                     break
             else:
                 value = digit - CELLS // 2 if level == 0 else ((prefix or 0) << width) | digit
-                last = step == 2 * LEVELS - 1 or (step == LEVELS - 1 and held[digit] <= WHOLE * total / shards)
-                if last:
-                    found[n] = _probe(half, level, text_at.get(n), prefix, digit if low_first else digit + 1, shift, width)
+                end = level == LEVELS - 1
+                if step == len(PARTS) * LEVELS - 1 or (end and held[digit] <= WHOLE * total / shards):
+                    found[n] = _probe(level, within.get(n, ()), prefix, digit if low_first else digit + 1, shift, width)
                     del open_[n]
-                elif step == LEVELS - 1:
-                    text_at[n] = value
+                elif end:
+                    within[n] = (*within.get(n, ()), value)
                     open_[n] = (target, start, None)
                 else:
                     open_[n] = (target, start, value)
     return [found[n] for n in sorted(found)]
 
 
-def _probe(half: str, level: int, text: int | None, prefix: int | None, at: int, shift: int, width: int) -> Splitter:
-    """The least key of a cell; past the last value of a half the next key follows."""
+def _probe(level: int, within: tuple[int, ...], prefix: int | None, at: int, shift: int, width: int) -> Splitter:
+    """The least key of a cell; past the last value of a part the next key follows."""
     value = (at - CELLS // 2 if level == 0 else ((prefix or 0) << width) + at) << shift
-    over = value >= 1 << 63
-    if half == "text_hash":
-        return Splitter((1 << 63) - 1, (1 << 63) - 1) if over else Splitter(value, LOWEST)
-    if over:
-        return Splitter(min(text + 1, (1 << 63) - 1), LOWEST)
-    return Splitter(text, value)
+    known = (*within, value)
+    if value > HIGHEST:
+        if not within:
+            return Splitter(HIGHEST, HIGHEST, HIGHEST)
+        known = (*within[:-1], min(within[-1] + 1, HIGHEST))
+    return Splitter(*known, *[LOWEST] * (len(PARTS) - len(known)))
 
 
 def _shard(first_keys: list[Splitter]) -> Column:
     """How many splitters a key has reached."""
-    reached = [((F.col("text_hash") > s.text_hash)
-                | ((F.col("text_hash") == s.text_hash) & (F.col("id_hash") >= s.id_hash))).cast("int")
-               for s in first_keys]
-    return sum(reached, F.lit(0))
+    def reached(s: Splitter) -> Column:
+        text, name, row = (F.col(p) for p in PARTS)
+        return (text > s.text_hash) | ((text == s.text_hash) & (
+            (name > s.id_hash) | ((name == s.id_hash) & (row >= s.row_hash))))
+
+    return sum((reached(s).cast("int") for s in first_keys), F.lit(0))
 
 
-def _exchanged(docs: DataFrame, first_keys: list[Splitter], id_col: str, text_col: str) -> DataFrame:
+def _exchanged(staged: DataFrame, first_keys: list[Splitter]) -> DataFrame:
     """Whole rows (row) in the files of their shard, with the task that wrote them (part) and their place there.
 
     Tasks hold ranges of (shard, key) in rising order, sorted. Small ranges are not merged, so a task's rows stay few.
     """
-    spark = docs.sparkSession
-    key = _key(lambda c: F.col("row").getField(c), id_col, text_col)
-    order = ["shard", *key]
-    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row")).select(
-        "row", *[k.alias(n) for n, k in key.items()]).withColumn("shard", _shard(first_keys).cast("int"))
+    spark = staged.sparkSession
+    order = ["shard", *PARTS]
+    rows = staged.select("row", *PARTS).withColumn("shard", _shard(first_keys).cast("int"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
         "row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"), "shard")
@@ -164,11 +163,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
     The columns of ``docs`` come back with ``shard_number`` and ``shard_slot``, which has no gaps and follows
     the order of the key. A document's size is its UTF-8 bytes plus one; a null text has none and counts as empty,
     null ids have a key like any other. Shards differ from an equal share by the tolerance at each end,
-    or by the one document, or the copies of the one text, at the border. Rows that repeat both id and text have one
-    key and are not parted; their slots are in no fixed order. ``docs`` is read twice. An empty table gives no rows.
+    or by the one document, or the copies of the one text, at the border. Rows that repeat both id and text
+    are told apart by their staged address, which also sets their slots. An empty table gives no rows.
     """
-    first_keys = splitters(keyed(docs, id_col, text_col), shards, tolerance)
-    rows = _exchanged(docs, first_keys, id_col, text_col)
+    staged = keyed(docs, id_col, text_col)
+    rows = _exchanged(staged, splitters(staged.select("size", *PARTS), shards, tolerance))
     # a row per task and shard; a task's rows of a shard stand together
     runs = rows.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -176,6 +176,21 @@ def test_shards_are_near_equal_with_a_hot_text(spark):
     assert sum(len(s) > 1 for s in shards_of.values()) == 1  # the hot text alone
 
 
+@pytest.mark.parametrize("repeated", [7, None])
+def test_shards_are_near_equal_with_a_repeated_row(spark, repeated):
+    hot = F.col("id") % 3 == 0
+    docs = spark.range(30000).select(
+        F.when(hot, F.lit(repeated)).otherwise(F.col("id")).cast("bigint").alias("doc_id"),
+        F.when(hot, "the same text everywhere").otherwise(F.concat(F.lit("text number "), F.col("id"))).alias("text"))
+    sizes, slots = Counter(), defaultdict(list)
+    for r in sharding.placements(docs).collect():
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(abs(s - mean) for s in sizes.values()) < 0.01 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_probes_come_in_falling_order_and_once():
     hashes = lsh.Tables(np.zeros((1, 3, 4)), np.zeros((1, 3)), 2.0, 1.0, 0.9)
     found = list(lsh.probes(np.array([0.2, 0.5, 0.9]), hashes))
