@@ -114,10 +114,15 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is clear, with their columns.
 
-    Rejected are texts without letters and those that lie between two languages.
+    Rejected are texts without letters and those that lie between two languages. Where no document
+    with a label can be learned from, nothing is known of languages and all texts with a letter stay.
     """
     names = docs.columns
-    bare = docs.select(F.struct(*[column(c) for c in names]).alias("row"))
-    found = identified(bare.select("row", "row.doc_id", "row.text", "row.lang"))
-    clear = found.filter((F.col("language.lang") != "und") & ~F.col("language.ambiguous"))
-    return clear.select(*[F.col("row").getField(c).alias(c) for c in names])
+    bare = docs.select(F.struct(*[column(c) for c in names]).alias("row")).select("row", "row.doc_id", "row.text", "row.lang")
+    ship(docs.sparkSession)
+    model = train(bare)
+    if model.languages:
+        kept = predict(bare, model).filter((F.col("language.lang") != "und") & ~F.col("language.ambiguous"))
+    else:
+        kept = bare.filter(F.col("text").rlike(r"\p{L}"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in names])

@@ -286,3 +286,12 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, empty):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.settle(stage(spark, docs, SF), "test")
         assert set(docs.columns) >= {"doc_id", "n_tokens", "ids"}
+
+
+@pytest.mark.parametrize("unlabelled", ["lang", "doc_id"])
+def test_pipeline_keeps_texts_where_no_language_is_known(spark, documents, odd, unlabelled):
+    for docs in (documents, odd):
+        bare = docs.withColumn(unlabelled, F.lit(None).cast(docs.schema[unlabelled].dataType))
+        kept = corpus_pipeline.identify_languages(spark, bare, SF)
+        lettered = [r.text for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)]
+        assert kept.columns == docs.columns and Counter(r.text for r in kept.collect()) == Counter(lettered)
