@@ -71,5 +71,5 @@ def decode_weather(envelopes: DataFrame) -> DataFrame:
 
 
 def decode_for_validation(envelopes: DataFrame, schema: str) -> DataFrame:
-    """Candidate fields as text, see :mod:`hazardlake.schemas`, and the place of arrival."""
-    return decode(envelopes, schema, carried=("arrival",))
+    """Candidate fields as text, see :mod:`hazardlake.schemas`, and the place of arrival where rows carry it."""
+    return decode(envelopes, schema, carried=tuple(c for c in ("arrival",) if c in envelopes.columns))
