@@ -138,10 +138,10 @@ def with_marks(staged: DataFrame, marks: DataFrame, how: str = "inner") -> DataF
     return staged.join(marks.hint("shuffle_hash"), "sender", how)
 
 
-def carried(staged: DataFrame, found: DataFrame, fields: list[str]) -> DataFrame:
-    """The staged rows that ``found`` (sender, seq and numeric fields) names, with those fields.
+def carried(staged: DataFrame, found: DataFrame, fields: list[str], everything: bool = False) -> DataFrame:
+    """The staged rows that ``found`` (sender, seq and plain fields) names, with those fields.
 
-    Like marks, the fields travel as one row of arrays per sender, so staged rows stay where they
+    With ``everything`` the other rows come too, with null fields. Like marks, the fields travel as one row of arrays per sender, so staged rows stay where they
     are. The entries of each 64 rows are found by their number of predecessors.
     """
     def collect(group: pd.DataFrame) -> pd.DataFrame:
@@ -157,5 +157,7 @@ def carried(staged: DataFrame, found: DataFrame, fields: list[str]) -> DataFrame
     word = F.expr("CAST(seq DIV 64 AS INT)")
     low, high = F.get("_starts", word), F.get("_starts", word + 1)
     place = F.array_position(F.slice("_seqs", low + 1, high - low), F.col("seq"))
-    rows = with_marks(staged, packed).withColumn("_place", low + place - 1).filter(place > 0)
+    rows = with_marks(staged, packed, "left" if everything else "inner") \
+        .withColumn("_place", F.when(place > 0, low + place - 1))
+    rows = rows if everything else rows.filter("_place IS NOT NULL")
     return rows.select(*staged.columns, *[F.get(f"_{name}", F.col("_place").cast("int")).alias(name) for name in fields])

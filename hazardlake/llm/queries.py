@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardlake.llm import (
     bpe_codec, chat_format, exact_dedup, language_id, mixing, near_dedup, neighbours, secret_scan, sharding, token_counts,
+    warc,
 )
 from hazardlake.session import prepare
 
@@ -77,9 +78,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "language.score", "language.ambiguous")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = warc.archived(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.captures(spark, warc.deduplicated(spark, raw)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_exact_dedup, op2_chat_format, op3_ngram_join, op4_token_counts, op5_nearest_neighbours, op6_secret_scan,
-    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id)}
+    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id, op11_warc)}
 
 TWINS = {
     "op1_exact_dedup": """
@@ -131,4 +138,16 @@ TWINS = {
             SELECT *, (whole + CASE WHEN start + size / 2 < target - whole * total THEN 1 ELSE 0 END)::INTEGER AS copies
             FROM placed)
         SELECT doc_id, size, total AS source_size, target, (size * copies)::BIGINT AS taken, copies FROM taken""",
+    "op11_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                   coalesce(html, '') AS payload
+            FROM pages),
+        ranked AS (
+            SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS kept
+            FROM payloads WINDOW same AS (PARTITION BY payload ORDER BY page_id DESC NULLS LAST))
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND place > 1 THEN kept END AS refers_to
+        FROM ranked""",
 }
