@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardlake.llm import (
-    bpe_codec, chat_format, exact_dedup, language_id, mixing, near_dedup, neighbours, secret_scan, sharding, token_counts,
-    warc,
+    bpe_codec, chat_format, exact_dedup, hard_negatives, language_id, mixing, near_dedup, neighbours, secret_scan, sharding,
+    token_counts, warc,
 )
 from hazardlake.session import prepare
 
@@ -84,9 +84,14 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, label=moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_exact_dedup, op2_chat_format, op3_ngram_join, op4_token_counts, op5_nearest_neighbours, op6_secret_scan,
-    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id, op11_warc)}
+    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id, op11_warc, op12_hard_negatives)}
 
 TWINS = {
     "op1_exact_dedup": """
@@ -150,4 +155,24 @@ TWINS = {
                CASE WHEN payload_bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND place > 1 THEN kept END AS refers_to
         FROM ranked""",
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT row_number() OVER () AS nr, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS cells
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        scored AS (
+            SELECT a.nr AS anchor, a.vec_id AS anchor_id, r.nr, r.vec_id, r.label = a.label AS same,
+                   coalesce(list_sum(list_transform(list_zip(a.cells, r.cells), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+            FROM usable a JOIN usable r ON r.nr <> a.nr AND len(r.cells) = len(a.cells) WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, nr) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               row_number() OVER (PARTITION BY p.anchor, p.nr ORDER BY n.score DESC, n.vec_id NULLS LAST, n.nr)::INTEGER AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+             AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+        QUALIFY rank <= 5""",
 }
