@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardlake.llm import (
-    bpe_codec, chat_format, exact_dedup, hard_negatives, language_id, mixing, near_dedup, neighbours, secret_scan, sharding,
-    token_counts, warc,
+    bpe_codec, chat_format, divergence, exact_dedup, hard_negatives, language_id, mixing, near_dedup, neighbours,
+    secret_scan, sharding, token_counts, warc,
 )
 from hazardlake.session import prepare
 
@@ -89,9 +89,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, label=moved)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_exact_dedup, op2_chat_format, op3_ngram_join, op4_token_counts, op5_nearest_neighbours, op6_secret_scan,
-    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id, op11_warc, op12_hard_negatives)}
+    op7_bpe_codec, op8_mixing, op9_sharding, op10_language_id, op11_warc, op12_hard_negatives,
+    op13_divergence)}
 
 TWINS = {
     "op1_exact_dedup": """
@@ -175,4 +180,35 @@ TWINS = {
         FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
              AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
         QUALIFY rank <= 5""",
+    "op13_divergence": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS nr, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        uses AS (SELECT nr, lang, source, unnest(terms) AS term FROM rows),
+        kept AS (SELECT lang, term, count(*) AS in_lang FROM uses GROUP BY ALL HAVING count(DISTINCT nr) >= 3),
+        langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(in_lang)::HUGEINT AS n FROM kept GROUP BY ALL),
+        counted AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM uses SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        groups AS (
+            SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n
+            FROM (SELECT DISTINCT lang, source FROM rows) g LEFT JOIN counted USING (lang, source) GROUP BY ALL),
+        shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                   1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1)) // (g.n + l.v) AS p,
+                   1 + (1000000000::HUGEINT * (k.in_lang + 1)) // (l.n + l.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item,
+                   coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY ALL),
+        found AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
