@@ -15,21 +15,22 @@ Shares are in billionths. All arithmetic is on integers.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazardlake.llm.common import column, enter, settle, ship
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
+# Bytes of a term stay, A-Z in lower case; all others part terms. Every byte of a character beyond ASCII is over 127.
+PARTED = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
 MIN_DOCUMENTS = 3
-BILLION = 1_000_000_000
 TOP_TERMS = 200
-HELD = 200_000  # entries that a task gathers before it sends them on
+HELD = 500_000  # entries that a task gathers before it sends them on
+ONE_DOCUMENT = 1 << 40  # a task's entry counts uses below this bit and documents from it on
+EXACT = 2.0 ** 62
 
 COUNTED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()),
                      ("uses", pa.int64()), ("documents", pa.int64())])
@@ -41,28 +42,27 @@ WHOLE = pa.decimal128(38, 0)
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Uses of each term and documents with it, for each language and source."""
     enter("divergence")
-    uses: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    documents: dict[tuple[str, str], Counter] = defaultdict(Counter)
+    groups: dict[tuple[str, str], dict[bytes, int]] = defaultdict(dict)
     held = 0
 
     def send() -> Iterator[pa.RecordBatch]:
-        for (lang, source), terms in uses.items():
-            n = len(terms)
+        for (lang, source), terms in groups.items():
+            n, packed = len(terms), np.fromiter(terms.values(), np.int64, len(terms))
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(list(terms), pa.string()),
-                pa.array(list(terms.values()), pa.int64()),
-                pa.array([documents[lang, source][t] for t in terms], pa.int64())], schema=COUNTED)
-        uses.clear()
-        documents.clear()
+                pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
+                pa.array(terms, pa.binary(), size=n).cast(pa.string()),
+                pa.array(packed % ONE_DOCUMENT), pa.array(packed // ONE_DOCUMENT)], schema=COUNTED)
+        groups.clear()
 
     for batch in batches:
-        for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-            found = Counter(TERM.findall(text.translate(LOWER)))
-            group = uses[lang, source]
-            held -= len(group)
-            group.update(found)
-            held += len(group)
-            documents[lang, source].update(found.keys())
+        texts = batch.column("text").cast(pa.binary())
+        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
+            terms = groups[lang, source]
+            held -= len(terms)
+            known = terms.get
+            for term, n in Counter(text.as_py().translate(PARTED).split()).items():
+                terms[term] = known(term, 0) + n + ONE_DOCUMENT
+            held += len(terms)
             if held > HELD:
                 yield from send()
                 held = 0
@@ -120,11 +120,57 @@ def shares(counted: DataFrame, groups: DataFrame, min_documents: int) -> tuple[D
 
 # --- the tree ---------------------------------------------------------------------------------
 
-def _value(p: int, q: int) -> int:
+NODES = pa.schema([("lang", pa.string()), ("a", pa.string()), ("b", pa.string()), ("p", pa.int64()), ("value", WHOLE)])
+
+
+def _value(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-NODES = pa.schema([("lang", pa.string()), ("a", pa.string()), ("b", pa.string()), ("p", pa.int64()), ("value", WHOLE)])
+class _Combinations:
+    """Node-ancestor combinations of a task, each with the number of terms that share both."""
+
+    def __init__(self):
+        self.items: dict[tuple, int] = {}  # (lang, source, p, p0), numbered
+        self.ancestors, self.nodes, self.terms = [], [], []
+        self.alone: Counter = Counter()
+
+    def number(self, item: tuple) -> int:
+        return self.items.setdefault(item, len(self.items))
+
+    def add(self, node: int, ancestors: list[int], terms: int) -> None:
+        self.alone[node] += terms
+        self.ancestors += ancestors
+        self.nodes += [node] * len(ancestors)
+        self.terms += [terms] * len(ancestors)
+
+    def __len__(self) -> int:
+        return len(self.nodes) + len(self.alone)
+
+    def summed(self) -> list[tuple]:
+        """Rows of NODES; what was added is forgotten, numbers stay."""
+        items = list(self.items)
+        found = [(items[i][0], items[i][1], None, items[i][2], n) for i, n in self.alone.items()]
+        if self.nodes:
+            groups = {g: nr for nr, g in enumerate(dict.fromkeys(i[:2] for i in items))}
+            group = np.array([groups[i[:2]] for i in items])
+            p, zero = (np.array([i[k] for i in items], np.int64) for k in (2, 3))
+            a, b = np.array(self.ancestors), np.array(self.nodes)
+            names = list(groups)
+            for a, b in ((a, b), (b, a)):
+                # beyond what either use alone changes
+                both = _value(p[a], p[b]) - _value(p[a], zero[b]) - _value(zero[a], p[b]) + _value(zero[a], zero[b])
+                terms = np.array(self.terms)
+                if np.abs(both.astype(float)) @ terms > EXACT:
+                    both = both.astype(object)
+                order = np.lexsort((group[b], group[a]))
+                pairs = np.stack([group[a][order], group[b][order]])
+                starts = np.flatnonzero(np.append(True, (np.diff(pairs) != 0).any(axis=0)))
+                sums = np.add.reduceat((both * terms)[order], starts)
+                found += [(names[x][0], names[x][1], names[y][1], None, int(v)) for (x, y), v in zip(pairs[:, starts].T, sums)]
+        self.ancestors, self.nodes, self.terms = [], [], []
+        self.alone.clear()
+        return found
 
 
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,42 +181,33 @@ def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     it is the correction for the terms that both use, and ``p`` is null.
     """
     enter("divergence")
-    alone: Counter = Counter()
-    pairs: Counter = Counter()
-    lang, path, multiplicity = None, [], []
+    seen = _Combinations()
+    path, multiplicity = [], []
 
     def close(depth: int) -> None:
         """Complete the nodes below a depth, the deepest first."""
         while len(path) > depth:
-            (b, p_b, zero_b), n = path.pop(), multiplicity.pop()
+            node, n = path.pop(), multiplicity.pop()
             if path:
                 multiplicity[-1] += n
-            alone[lang, b, p_b] += n
-            for a, p_a, zero_a in path:
-                # beyond what either use alone changes
-                pairs[lang, a, b] += n * (_value(p_a, p_b) - _value(p_a, zero_b) - _value(zero_a, p_b) + _value(zero_a, zero_b))
-                pairs[lang, b, a] += n * (_value(p_b, p_a) - _value(p_b, zero_a) - _value(zero_b, p_a) + _value(zero_b, zero_a))
+            seen.add(node, path, n)
 
     def send() -> Iterator[pa.RecordBatch]:
-        found = [(g, a, None, p, n) for (g, a, p), n in alone.items()] + [(g, a, b, None, v) for (g, a, b), v in pairs.items()]
-        alone.clear()
-        pairs.clear()
+        found = seen.summed()
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), NODES)], schema=NODES)
 
     for batch in batches:
-        for next_lang, items, n in zip(*(c.to_pylist() for c in batch.columns)):
-            items = [(i["source"], i["p"], i["p0"]) for i in items]
+        for lang, items, n in zip(*(c.to_pylist() for c in batch.columns)):
+            row = [seen.number((lang, i["source"], i["p"], i["p0"])) for i in items]
             depth = 0
-            if next_lang == lang:
-                while depth < min(len(path), len(items)) and path[depth] == items[depth]:
-                    depth += 1
+            while depth < min(len(path), len(row)) and path[depth] == row[depth]:
+                depth += 1
             close(depth)
-            lang = next_lang
-            path += items[depth:]
-            multiplicity += [0] * (len(items) - depth)
+            path += row[depth:]
+            multiplicity += [0] * (len(row) - depth)
             multiplicity[-1] += n
-            if len(alone) + len(pairs) > HELD:
+            if len(seen) > HELD:
                 yield from send()
     close(0)
     yield from send()
