@@ -31,8 +31,8 @@ GROUP_ANCHORS = 512
 STRIDE = 8  # dimensions read between two looks at the bounds
 EXACT_DOUBLE = 2 ** 53
 
-BLOCK = ("dims int, block int, n int, places array<bigint>, ids array<bigint>, labels array<bigint>, wide boolean, "
-         "cells binary")
+BLOCK = ("dims int, block int, n int, places array<bigint>, ids array<bigint>, known array<boolean>, "
+         "labels array<bigint>, wide boolean, cells binary")
 # ``anchor`` and ``place`` are addresses of rows, ``part`` the positive score whose window a negative is in
 HIT = "anchor long, part long, score long, id long, place long"
 
@@ -68,7 +68,7 @@ def _store(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({
         "dims": [vectors.shape[1]], "block": group.block.iloc[:1].to_numpy(), "n": [len(group)],
         "places": [group["at"].to_numpy()], "labels": [group.label.to_numpy()],
-        "ids": [[i if known else None for i, known in zip(group.id.tolist(), group.known)]],
+        "ids": [group.id.to_numpy()], "known": [group.known.to_numpy()],
         "wide": [wide], "cells": [np.ascontiguousarray((vectors if wide else narrow).T).tobytes()]})
 
 
@@ -104,7 +104,9 @@ class _Block:
 
     def __init__(self, row):
         self.labels = np.asarray(row.labels, np.int64)
-        self.ids, self.places = row.ids, row.places
+        # null ids travel apart, as an array of numbers has no place for them
+        self.ids = [int(i) if known else None for i, known in zip(row.ids, row.known)]
+        self.places = row.places
         kind = np.float64 if row.wide else np.float32
         self.cells = _scaled(np.frombuffer(row.cells, kind).reshape(row.dims, row.n).astype(np.float64))
         self.least = self.cells.min(axis=1) if row.dims else np.zeros(0)
