@@ -146,3 +146,13 @@ COMPOSITE_CATALOGUE = {
     "weather-data": ("temp_max_media", "humidade_ipma", "vento_max_ipma", "precipitacao_media"),
     "join": ("janela_inicio", "janela_fim", "grid_id", "risco_composto"),
 }
+
+# --- features of cells and zones -----------------------------------------------------------------
+
+GRID_STEP = 0.25  # degrees between reanalysis points
+WEATHER_TOLERANCE_HOURS = 3
+EARTH_RADIUS_KM = 6371.0
+STANDARD_PARALLEL = 39.5  # of the equal-area cells, in the middle of the country
+CELL_KM = 5.0
+ROLLING_DAYS = (7, 30)
+HORIZON_HOURS = (24, 48, 72)

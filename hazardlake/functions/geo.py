@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 from hazardlake import constants as k
@@ -45,3 +47,30 @@ def nearest_zone(latitude: Column, longitude: Column, zones=k.ZONES) -> Column:
 def wrap_longitude(longitude: Column) -> Column:
     """0..360 degrees to -180..180."""
     return F.pmod(longitude + 180, F.lit(360.0)) - 180
+
+
+# --- equal-area cells ----------------------------------------------------------------------------
+
+def cell_area(latitude: Column, longitude: Column) -> Column:
+    """The cell of a location in a cylindrical equal-area grid: struct of column ``x`` and row ``y``.
+
+    Every cell covers the same area; on the standard parallel, cells are squares of ``CELL_KM``.
+    """
+    scale = k.EARTH_RADIUS_KM * math.cos(math.radians(k.STANDARD_PARALLEL))
+    height = k.EARTH_RADIUS_KM / math.cos(math.radians(k.STANDARD_PARALLEL))
+    return F.struct(F.floor(F.radians(longitude) * scale / k.CELL_KM).cast("int").alias("x"),
+                    F.floor(F.sin(F.radians(latitude)) * height / k.CELL_KM).cast("int").alias("y"))
+
+
+def cell_centre(cell: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of a cell's centre."""
+    scale = k.EARTH_RADIUS_KM * math.cos(math.radians(k.STANDARD_PARALLEL))
+    height = k.EARTH_RADIUS_KM / math.cos(math.radians(k.STANDARD_PARALLEL))
+    return (F.degrees(F.asin((cell["y"] + 0.5) * k.CELL_KM / height)),
+            F.degrees((cell["x"] + 0.5) * k.CELL_KM / scale))
+
+
+def neighbours(cell: Column) -> Column:
+    """A cell and the eight around it."""
+    return F.array(*[F.struct((cell["x"] + dx).alias("x"), (cell["y"] + dy).alias("y"))
+                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
