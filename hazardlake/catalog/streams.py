@@ -10,7 +10,7 @@ from hazardlake.catalog.windows import COMPOSITE, SENSOR_AGGREGATES, SLIDE, WIND
 from hazardlake.functions.values import as_json
 from hazardlake.operators import access, lake_checks, windows as w
 from hazardlake.session import new_folder
-from hazardlake.sinks import keyed, messages
+from hazardlake.sinks import keyed, messages, tables
 from hazardlake.sources import streams as src
 from hazardlake.streaming import queries as sq
 
@@ -138,7 +138,7 @@ def restart(t):
     simulated_then_stations(t, sq.sensor_candidates, sink=sq.sensor_sink(root, received()))
     names = ("sensor_readings", "fire_alerts", "quarantine", "rejected_event_detail", "pipeline_latency", "data_quality")
     return access.union_all([
-        t.spark.read.parquet(f"{root}/{n}").agg(F.lit(n).alias("stored"), F.count("*").alias("linhas")) for n in names])
+        tables.scan(t.spark, f"{root}/{n}").agg(F.lit(n).alias("stored"), F.count("*").alias("linhas")) for n in names])
 
 
 # --- windows and joins ---------------------------------------------------------------------------

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from hazardlake.sinks import tables
 
 
 def read_range(points: DataFrame, start, stop, tags: dict[str, str] | None = None) -> DataFrame:
@@ -15,6 +18,17 @@ def read_range(points: DataFrame, start, stop, tags: dict[str, str] | None = Non
     return rows
 
 
+def read_stored(spark: SparkSession, path: str, start: dt.datetime, stop: dt.datetime,
+                tags: dict[str, str] | None = None) -> DataFrame:
+    """Points of a half-open time range from a committed table cut by the day of ``_time``.
+
+    Only the range's days are listed and read; within them, time and tags are pushed to the scan, whose files are sorted by them.
+    """
+    days = (F.col("dia") >= F.lit(start.date())) & (F.col("dia") <= F.lit(stop.date()))
+    rows = tables.scan(spark, path, start.date(), (stop - dt.timedelta(microseconds=1)).date()).filter(days)
+    return read_range(rows, F.lit(start), F.lit(stop), tags)
+
+
 def to_long(points: DataFrame, tags: list[str], fields: list[str]) -> DataFrame:
     """Wide points to (_time, tags, _field, _value) rows; absent values give no row."""
     cells = [F.struct(F.lit(f).alias("_field"), F.col(f).cast("double").alias("_value")) for f in fields]

@@ -8,10 +8,13 @@ stored file is rewritten by a later batch.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from hazardlake import constants as k
 from hazardlake.operators.access import within_retention
+from hazardlake.sinks import tables
 
 KEY = ("grid_id", "hour_bucket", "event_time")
 ORDER = ("batch_id", "arrival")
@@ -51,10 +54,12 @@ def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ORDER,
                 as_of: Column | None = None, hours: int = k.RETENTION_HOURS) -> DataFrame:
     """Current rows of a keyed table, without those past their lifetime when ``as_of`` is given.
 
+    Below a manifest, only committed versions are read.
+
     Later versions are written later, so a key whose last version has expired has only
     expired ones: the lifetime can be checked on the scan, where it skips old files.
     """
-    versions = spark.read.parquet(path)
+    versions = tables.scan(spark, path)
     if as_of is not None:
         versions = within_retention(versions, "written_at", as_of, hours)
     # the day follows from the event time; as part of the key it lets filters on days reach the scan
@@ -79,3 +84,13 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dia_evento", "batch_id").parquet(target)
     )
+
+
+def newest_versions(versions: DataFrame) -> DataFrame:
+    """What merging the versions of a day keeps."""
+    return latest_per_key(versions, ("dia_evento", *KEY), tuple(c for c in ORDER if c in versions.columns))
+
+
+def compact_days(spark: SparkSession, path: str, before: dt.date) -> int:
+    """Merge the versions of each closed day of a committed table into one, with the last version of each key."""
+    return tables.compact(spark, path, before, newest_versions, ("grid_id", F.desc("event_time")))

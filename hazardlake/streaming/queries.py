@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazardlake import constants as k, schemas
@@ -13,7 +14,7 @@ from hazardlake.functions.calendar import latency_ms
 from hazardlake.functions.values import safe_double
 from hazardlake.operators import access, quality
 from hazardlake.operators.windows import composite
-from hazardlake.sinks import keyed, messages
+from hazardlake.sinks import keyed, messages, tables
 from hazardlake.sources import streams
 
 
@@ -93,10 +94,19 @@ SENSOR_NUMBERS = ("temp_celsius", "humidity_pct", "wind_kmh", "risk_score", "hot
 DETECTION_NUMBERS = ("frp_mw", "brightness", "latitude", "longitude")
 
 
+def _moment(spark: SparkSession, as_of: Column | None) -> tuple[Column, dt.datetime]:
+    """The time of a batch, the same for all its rows and tables."""
+    micros = spark.range(1).select(F.unix_micros(F.current_timestamp() if as_of is None else as_of)).first()[0]
+    return F.timestamp_micros(F.lit(micros)), dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+
+
 def sensor_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """Micro-batch of text candidates to readings, alerts, alert messages, quarantine, metrics."""
+    """Micro-batch of text candidates to readings, alerts, alert messages, quarantine, metrics.
+
+    All eight tables are cut by day and become visible in one commit, see :mod:`hazardlake.sinks.tables`.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = F.current_timestamp() if as_of is None else as_of
+        now, written = _moment(batch.sparkSession, as_of)
         checked = quality.with_time_reason(quality.with_sensor_reasons(keyed.numbered(batch)))
         validated = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -104,48 +114,48 @@ def sensor_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame,
             typed = _numbers(good, SENSOR_NUMBERS)
             readings = access.sensor_rows(typed).withColumn("written_at", now)
             record = quality.sensor_quarantine(bad, now)
-            sink = _tables(root, batch_id)
-            keyed.append_versions(readings, f"{root}/sensor_readings", batch_id)
-            sink("fire_alerts", access.alert_rows(readings))
-            sink("alert_messages", messages.critical_weather_alerts(typed))
-            sink("quarantine", quality.as_messages(record, "grid_id"))
-            sink("data_quality", quality.quality_points(_numbers(validated, SENSOR_NUMBERS), "event_time"))
-            sink("rejected_events", quality.rejection_points(record))
-            sink("rejected_event_detail", quality.rejection_details(record))
-            sink("pipeline_latency", quality.latency_points(
-                typed, latency_ms(F.col("event_time"), now), k.SENSOR_TOPIC, now))
+            out = tables.Batch(batch.sparkSession, root, batch_id, written)
+            out.add("sensor_readings", readings, F.to_date("event_time"), ("grid_id", F.desc("event_time")), "dia_evento")
+            out.add("fire_alerts", access.alert_rows(readings), F.to_date("alert_time"), ("grid_id", F.desc("alert_time")))
+            out.add("alert_messages", messages.critical_weather_alerts(typed), F.to_date(now), ("key",))
+            out.add("quarantine", quality.as_messages(record, "grid_id"), F.to_date(now), ("key",))
+            _add_points(out, "data_quality", quality.quality_points(_numbers(validated, SENSOR_NUMBERS), "event_time"), "source")
+            _add_points(out, "rejected_events", quality.rejection_points(record), "reason", "grid_id")
+            _add_points(out, "rejected_event_detail", quality.rejection_details(record), "grid_id")
+            _add_points(out, "pipeline_latency", quality.latency_points(
+                typed, latency_ms(F.col("event_time"), now), k.SENSOR_TOPIC, now), "topic", "grid_id")
+            out.commit()
         finally:
             validated.unpersist()
     return write
 
 
 def detection_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """Micro-batch of satellite candidates to readings, quarantine and metrics."""
+    """Micro-batch of satellite candidates to readings, quarantine and metrics, in one commit."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = F.current_timestamp() if as_of is None else as_of
+        now, written = _moment(batch.sparkSession, as_of)
         checked = quality.with_time_reason(quality.with_detection_reasons(keyed.numbered(batch)))
         validated = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = quality.split(validated)
             typed = _numbers(good, DETECTION_NUMBERS)
             record = quality.detection_quarantine(bad, now)
-            sink = _tables(root, batch_id)
-            keyed.append_versions(
-                access.detection_rows(typed).withColumn("written_at", now),
-                f"{root}/detection_readings", batch_id)
-            sink("detection_quarantine", quality.as_messages(record, "grid_id"))
-            sink("detection_rejected_events", quality.rejection_points(record))
-            sink("detection_latency", quality.latency_points(
-                typed, latency_ms(F.col("event_time"), now), k.DETECTION_TOPIC, now))
+            out = tables.Batch(batch.sparkSession, root, batch_id, written)
+            out.add("detection_readings", access.detection_rows(typed).withColumn("written_at", now),
+                    F.to_date("event_time"), ("grid_id", F.desc("event_time")), "dia_evento")
+            out.add("detection_quarantine", quality.as_messages(record, "grid_id"), F.to_date(now), ("key",))
+            _add_points(out, "detection_rejected_events", quality.rejection_points(record), "reason", "grid_id")
+            _add_points(out, "detection_latency", quality.latency_points(
+                typed, latency_ms(F.col("event_time"), now), k.DETECTION_TOPIC, now), "topic", "grid_id")
+            out.commit()
         finally:
             validated.unpersist()
     return write
 
 
-def _tables(root: str, batch_id: int) -> Callable[[str, DataFrame], None]:
-    def write(name: str, rows: DataFrame) -> None:
-        partitioned_sink(f"{root}/{name}")(rows, batch_id)
-    return write
+def _add_points(out: tables.Batch, name: str, points: DataFrame, *tags: str) -> None:
+    """Metric points by day, with each series together in time order."""
+    out.add(name, points, F.to_date("_time"), (*tags, "_time"))
 
 
 def sensor_candidates(envelopes: DataFrame) -> DataFrame:
