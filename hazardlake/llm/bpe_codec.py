@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hazardlake.llm import bpe
-from hazardlake.llm.common import column, enter, give_back, ship
+from hazardlake.llm.common import column, enter, free, give_back, ship
 
 FIELDS = {"n_tokens": "long", "ids": "binary", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 LARGE = ("ids", "decoded")  # fields that come only when asked for
@@ -43,10 +43,11 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", large: tup
     ``vocabulary`` is the JSON file of a byte-level BPE tokenizer; the driver reads it and sends it
     along. Special strings in a text become their single ids. Null counts as empty and gives
     no ids; rows, ties and other columns pass through as they are; no text is cut. Of the large
-    fields ``ids`` and ``decoded`` those in ``large`` are returned.
+    fields ``ids`` and ``decoded`` those in ``large`` are returned. Where ``docs`` has a column ``bpe`` itself, the struct
+    is ``bpe_``.
     """
     ship(docs.sparkSession)
     raw = Path(vocabulary).read_bytes()
     fields = {name: of for name, of in FIELDS.items() if name not in LARGE or name in large}
     udf = F.arrow_udf(_codec(raw, fields), ", ".join(f"{name} {of}" for name, of in fields.items()))
-    return docs.select("*", udf(column(text_col)).alias("bpe"))
+    return docs.select("*", udf(column(text_col)).alias(free("bpe", docs)))

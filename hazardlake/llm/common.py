@@ -77,6 +77,14 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def free(name: str, docs: DataFrame) -> str:
+    """A name for a new column: underscores are added while the frame has it, in any case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, which cuts its lineage."""
     path = new_folder(df.sparkSession, label)

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hazardlake.llm import ecoc
-from hazardlake.llm.common import column, enter, give_back, ship
+from hazardlake.llm.common import column, enter, free, give_back, ship
 
 MAX_LANGUAGES = 512
 SALTS = 1024  # first-level groups when counts of tasks are added up
@@ -98,11 +98,12 @@ def predict(docs: DataFrame, model: ecoc.Model, text_col: str = "text") -> DataF
 
     The prediction sees the whole text and nothing else. A text that is null or holds no letter is
     ``und`` with score 0, and so is every text where nothing could be learned. Equal texts get
-    equal predictions; repeated rows and other columns pass through.
+    equal predictions; repeated rows and other columns pass through. Where ``docs`` has a column
+    ``language`` itself, the struct is ``language_``.
     """
     ship(docs.sparkSession)
     udf = F.arrow_udf(_predict(model), "lang string, score double, ambiguous boolean")
-    return docs.select("*", udf(column(text_col)).alias("language"))
+    return docs.select("*", udf(column(text_col)).alias(free("language", docs)))
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazardlake.llm.common import SCRATCH_CODEC, stage
+from hazardlake.llm.common import SCRATCH_CODEC, free, stage
 from hazardlake.session import new_folder
 
 SHARDS = 16
@@ -164,7 +164,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
     the order of the key. A document's size is its UTF-8 bytes plus one; a null text has none and counts as empty,
     null ids have a key like any other. Shards differ from an equal share by the tolerance at each end,
     or by the one document, or the copies of the one text, at the border. Rows that repeat both id and text
-    are told apart by their staged address, which also sets their slots. An empty table gives no rows.
+    are told apart by their staged address, which also sets their slots. An empty table gives no rows. An underscore is
+    added to a new name that ``docs`` has itself.
     """
     staged = keyed(docs, id_col, text_col)
     rows = _exchanged(staged, splitters(staged.select("size", *PARTS), shards, tolerance))
@@ -174,7 +175,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
     offsets = runs.select("shard", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("offset"))
     return rows.join(F.broadcast(offsets), ["shard", "part"]).select(
         *[F.col("row").getField(c).alias(c) for c in docs.columns],
-        F.col("shard").alias("shard_number"), (F.col("place") + F.col("offset")).alias("shard_slot"))
+        F.col("shard").alias(free("shard_number", docs)), (F.col("place") + F.col("offset")).alias(free("shard_slot", docs)))
 
 
 def placements(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hazardlake.llm import unigram
-from hazardlake.llm.common import column, ship
+from hazardlake.llm.common import column, free, ship
 
 
 def pieces_of(model_file: str) -> tuple[tuple[str, float], ...]:
@@ -35,8 +35,9 @@ def counted(docs: DataFrame, pieces: tuple[tuple[str, float], ...], text_col: st
     """Each row with a struct ``tokens``: the number of tokens of its whole text and their score.
 
     The segmentation is the best-scoring one of each word, a word being what a space or the start of
-    the text begins. Null and empty texts have no tokens. Rows, ties and other columns pass through.
+    the text begins. Null and empty texts have no tokens. Rows, ties and other columns pass through; where
+    ``docs`` has a column ``tokens`` itself, the struct is ``tokens_``.
     """
     ship(docs.sparkSession)
     udf = F.arrow_udf(_count(pieces), "n_tokens long, score double")
-    return docs.select("*", udf(column(text_col)).alias("tokens"))
+    return docs.select("*", udf(column(text_col)).alias(free("tokens", docs)))
