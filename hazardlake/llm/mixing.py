@@ -12,12 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazardlake.llm.common import carried, column, settle, stage
+from hazardlake.llm.common import carried, column, enter, free, quoted, settle, ship, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_DIGITS = 3  # hex digits of the order key: 4096 blocks per source
+# A source's documents in its fixed order. The last two are the row's address, so rows that repeat an id or have none
+# are told apart and may stand in several slices.
+ORDER = ("key", "size", "crc", "sender", "seq")
+PACKING = 1  # zstd level of texts on their way
 MAX_COPIES = 2
 SHARE_OF_ALL = 1.5
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -35,7 +40,7 @@ def _measures(of: Callable[[str], Column], id_col: str, text_col: str, source_co
     return {
         "id": of(id_col), "source": of(source_col).cast("string"),
         "src": F.coalesce(of(source_col).cast("string"), F.lit("")), "none": of(source_col).isNull(),
-        "size": word_count(of(text_col)), "key": order, "block": F.substring(order, 1, BLOCK_DIGITS),
+        "size": word_count(of(text_col)), "key": order,
         "crc": F.crc32(F.coalesce(of(text_col), F.lit("")))}
 
 
@@ -90,26 +95,32 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     ``schedules`` maps the sources (src, none, total) to knots: arrays ``times`` from 0 to 1 and
     positive ``rates``. A document is taken in whole: as often as the target holds the whole
     source, and once more if its middle lies within the rest. Null texts have no words, null ids
-    come first in the order, rows that repeat an id stand beside each other, an empty table gives
+    stand where an empty one would, rows that repeat an id stand beside each other, an empty table gives
     no rows.
     """
     measures = _measures(column, id_col, text_col, source_col)
-    return _placed(settle(docs.select(*[value.alias(name) for name, value in measures.items()]), "mixing"), schedules)
+    return _placed(docs.select(*[value.alias(name) for name, value in measures.items()],
+                               F.lit(0).alias("sender"), F.monotonically_increasing_id().alias("seq")), schedules)
 
 
-def _placed(sized: DataFrame, schedules, *ties: str) -> DataFrame:
-    """Measured documents with the plan of their source, their start in its order and their copies."""
-    blocks = sized.groupBy("src", "none", "block").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("src", "none").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("src", "none", "block", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    sources = blocks.groupBy("src", "none").agg(F.sum("words").alias("total"))
-    # at most 4096 rows per source
+def _placed(sized: DataFrame, schedules) -> DataFrame:
+    """Measured documents with the plan of their source, their start in its order and their copies.
+
+    The order is cut by range into slices of about equal numbers of rows, whatever ids repeat. Words are summed per
+    slice, then within it.
+    """
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = settle(sized.repartitionByRange(parts, "src", "none", *ORDER).withColumn("slice", F.spark_partition_id()),
+                    "mixing-order")
+    sums = sliced.groupBy("src", "none", "slice").agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("src", "none").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("src", "none", "slice", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
+    sources = sums.groupBy("src", "none").agg(F.sum("words").alias("total"))
+    # a row per source, and one more per slice
     plan = settle(offsets.join(targets(integrated(schedules(sources))), ["src", "none"]), "mixing-plan")
-    # a block holds 1 / 4096 of its source
-    rows = Window.partitionBy("src", "none", "block").orderBy("key", "size", "crc", *ties).rowsBetween(
-        Window.unboundedPreceding, -1)
-    placed = sized.withColumn("start", F.coalesce(F.sum("size").over(rows), F.lit(0))) \
-        .join(plan, ["src", "none", "block"]).withColumn("start", F.col("start") + F.col("offset"))
+    rows = Window.partitionBy("src", "none", "slice").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    placed = sliced.withColumn("start", F.coalesce(F.sum("size").over(rows), F.lit(0))) \
+        .join(plan, ["src", "none", "slice"]).withColumn("start", F.col("start") + F.col("offset"))
     whole = F.when(F.col("total") > 0, F.floor(F.col("target") / F.col("total"))).otherwise(F.lit(0)).cast("bigint")
     rest = F.col("target") - F.col("whole") * F.col("total")
     return placed.withColumn("whole", whole).withColumn(
@@ -130,10 +141,23 @@ def position(demand: Column) -> Column:
     return F.least(F.lit(1.0), begin + F.when(rate + root > 0, left * 2 / (rate + root)).otherwise(0.0))
 
 
-def _dealt(staged: DataFrame, rows: DataFrame, *parts: int) -> DataFrame:
+def _packed(texts: pa.Array) -> pa.Array:
+    enter("mixing")
+    pack = zstandard.ZstdCompressor(level=PACKING).compress
+    return pa.array([None if t is None else pack(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def _unpacked(texts: pa.Array) -> pa.Array:
+    enter("mixing")
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if t is None else unpack(t) for t in texts.to_pylist()], pa.binary()).cast(pa.string())
+
+
+def _dealt(staged: DataFrame, rows: DataFrame, text_col: str, *parts: int) -> DataFrame:
     """Every copy of every staged row (sender, seq, row) with its training position ``at``, range-sorted by it.
 
-    A number of ``parts`` keeps small ranges from being merged into larger tasks.
+    Texts move compressed, as every copy of a document does. A number of ``parts`` keeps small ranges from being merged
+    into larger tasks.
     """
     def at(copy: int) -> Column:
         demand = (F.col("start") + F.col("size") / 2 + F.col("total") * (copy - 1)) / F.col("target")
@@ -142,13 +166,19 @@ def _dealt(staged: DataFrame, rows: DataFrame, *parts: int) -> DataFrame:
     places = [f"at{copy}" for copy in range(1, MAX_COPIES + 1)]
     placed = settle(rows.filter("copies > 0").select(
         "sender", "seq", "copies", *[at(i).alias(p) for i, p in enumerate(places, 1)]), "mixing-at")
-    copies = carried(staged.select("sender", "seq", "row", "key"), placed, ["copies", *places]).select(
-        "sender", "seq", "row", "key", F.posexplode(F.slice(F.array(*places), 1, F.col("copies"))).alias("copy", "at")) \
-        .withColumn("copy", F.col("copy") + 1)
-    return copies.repartitionByRange(*parts, "at", "key", "copy").sortWithinPartitions("at", "key", "copy")
+    row, text = F.col("row"), quoted(text_col)
+    packed = carried(staged.select("sender", "seq", "row", "key"), placed, ["copies", *places]).select(
+        "sender", "seq", "key", "copies", *places, F.arrow_udf(_packed, "binary")(row.getField(text_col)).alias("packed"),
+        row.withField(text, F.lit(None).cast("string")).alias("row"))
+    copies = packed.select("sender", "seq", "row", "packed", "key", F.posexplode(F.slice(
+        F.array(*places), 1, F.col("copies"))).alias("copy", "at")).withColumn("copy", F.col("copy") + 1)
+    ordered = copies.repartitionByRange(*parts, "at", "key", "copy").sortWithinPartitions("at", "key", "copy")
+    return ordered.withColumn("text", F.arrow_udf(_unpacked, "string")("packed")).select(
+        "sender", "seq", row.withField(text, F.col("text")).alias("row"), "key", "copy", "at")
 
 
 def _staged(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    ship(docs.sparkSession)
     return stage(docs, "mixing", **_measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col))
 
 
@@ -156,13 +186,14 @@ def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               schedules=default_schedules) -> DataFrame:
     """The mix itself: every copy of every document with its training position, range-sorted by it.
 
-    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy``. Positions are worked
+    The columns of ``docs`` come back with ``mix_position`` and ``mix_copy`` (an underscore is added to a name that
+    ``docs`` has itself). Null texts and ids, ties, repeated rows and empty tables are as in :func:`mixed`. Positions are worked
     out on measures alone; whole rows move once, to their place.
     """
     staged = _staged(docs, id_col, text_col, source_col)
-    ordered = _dealt(staged, _placed(staged.drop("row"), schedules, "sender", "seq"))
+    ordered = _dealt(staged, _placed(staged.drop("row"), schedules), text_col)
     return ordered.select(*[F.col("row").getField(c).alias(c) for c in docs.columns],
-                          F.col("at").alias("mix_position"), F.col("copy").alias("mix_copy"))
+                          F.col("at").alias(free("mix_position", docs)), F.col("copy").alias(free("mix_copy", docs)))
 
 
 def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -173,9 +204,9 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     the address of the document. Documents that the mix leaves out have none.
     """
     staged = _staged(docs, id_col, text_col, source_col)
-    rows = _placed(staged.drop("row"), schedules, "sender", "seq")
+    rows = _placed(staged.drop("row"), schedules)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    mix = settle(_dealt(staged, rows, parts), "mixing-mix")
+    mix = settle(_dealt(staged, rows, text_col, parts), "mixing-mix")
     counted = mix.groupBy("sender", "seq").agg(
         F.count("*").cast("int").alias("counted"), F.sum(word_count(F.col("row").getField(text_col))).alias("words"))
     return rows.join(counted, ["sender", "seq"], "left").select(

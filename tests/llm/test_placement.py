@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import check
 import corpus_pipeline
-from hazardlake.llm import chat_format, lsh, mixing, neighbours, queries, sharding
+from hazardlake.llm import (
+    bpe_codec, chat_format, language_id, lsh, mixing, neighbours, queries, sharding, token_counts,
+)
 from test_texts import brute_exact, brute_near
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +33,7 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -133,6 +135,44 @@ def test_sources_come_near_their_targets(documents):
     assert all(abs(r.taken - r.target) <= r.largest for r in rows)
 
 
+@pytest.mark.parametrize("repeated", [7, None])
+def test_mix_with_a_repeated_id(spark, repeated):
+    """A third of all rows with one id or none is cut into slices like any others."""
+    hot = F.col("id") % 3 == 0
+    docs = spark.range(9000).select(
+        F.when(hot, F.lit(repeated)).otherwise(F.col("id")).cast("bigint").alias("doc_id"),
+        F.when(hot, "the same words everywhere").otherwise(F.concat_ws(" ", F.lit("text"), F.col("id"))).alias("text"),
+        F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("source"))
+    placed = mixing.mixed(docs)
+    slices = placed.groupBy("slice").count().collect()
+    assert len(slices) > 4 and max(r["count"] for r in slices) < 2 * 9000 / len(slices)
+    starts = sorted((r.source, r.start, r.start + r.size) for r in placed.collect())
+    assert all(a[2] == b[1] for a, b in zip(starts, starts[1:]) if a[0] == b[0])
+    taken = mixing.taken(docs).collect()
+    assert len(taken) == 9000 and sum(r.copies for r in taken) == mixing.scheduled(docs).count()
+
+
+NAMES = ("tokens", "bpe", "Language", "mix_position", "mix_copy", "shard_number", "shard_slot", "row", "sender", "seq", "key",
+         "at", "copies", "packed", "slice")
+
+
+def test_columns_with_the_names_of_results(spark, documents):
+    """Every operator keeps a column of the input that has the name of its result, and gives that another one."""
+    docs = documents.limit(30).withColumns({c: F.lit("mine") for c in NAMES})
+    pieces = token_counts.pieces_of(queries.tokenizer_file(queries.UNIGRAM_FILE))
+    results = {
+        "tokens_": token_counts.counted(docs, pieces), "bpe_": bpe_codec.encoded(docs, queries.tokenizer_file(queries.BPE_FILE)),
+        "language_": language_id.identified(docs), "mix_position_": mixing.scheduled(docs), "shard_slot_": sharding.sharded(docs)}
+    for name, found in results.items():
+        assert name in found.columns and found.columns[:len(docs.columns)] == docs.columns
+        rows = found.collect()
+        assert rows and all(r[c] == "mine" for r in rows for c in NAMES)
+    assert language_id.keep_identified(docs).columns == docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    assert docs.count() and docs.columns == [*documents.columns, *NAMES]
+
+
 @pytest.mark.parametrize("table", ["documents", "odd", "empty"])
 def test_shards(request, table):
     docs = request.getfixturevalue(table)
