@@ -92,11 +92,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(docs: DataFrame, label: str, **extra: Column) -> DataFrame:
+def stage(docs: DataFrame, label: str, slim: Callable[[Column], Column] = lambda row: row, **extra: Column) -> DataFrame:
     """Write every row once, with a stable address, so that later passes can find it again.
 
     Columns: ``sender`` (the task that wrote the row), ``seq`` (its number there), ``row``
-    (all columns of ``docs`` as a struct, so no name can clash) and the ``extra`` columns.
+    (all columns of ``docs`` as a struct, so no name can clash; of it, what ``slim`` leaves) and the ``extra``
+    columns, which are worked out on the whole row.
     The files are bucketed by ``sender``: joins and groups on it read them without moving
     any text. The table's catalogue entry is dropped at once; its files stay.
     """
@@ -105,7 +106,7 @@ def stage(docs: DataFrame, label: str, **extra: Column) -> DataFrame:
     packed = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"))
     rows = packed.select(F.monotonically_increasing_id().alias("_at"), "row").select(
         F.shiftright("_at", ROW_BITS).cast("int").alias("sender"),
-        F.col("_at").bitwiseAND((1 << ROW_BITS) - 1).alias("seq"), "row",
+        F.col("_at").bitwiseAND((1 << ROW_BITS) - 1).alias("seq"), slim(F.col("row")).alias("row"),
         *[value.alias(name) for name, value in extra.items()])
     table = f"hazardlake_{label}_{uuid.uuid4().hex}"
     rows.write.bucketBy(buckets, "sender").format("parquet").options(

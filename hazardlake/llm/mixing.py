@@ -22,7 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A source's documents in its fixed order. The last two are the row's address, so rows that repeat an id or have none
 # are told apart and may stand in several slices.
 ORDER = ("key", "size", "crc", "sender", "seq")
-PACKING = 1  # zstd level of texts on their way
+PACKING = 6  # zstd level of texts on their way
 MAX_COPIES = 2
 SHARE_OF_ALL = 1.5
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -156,7 +156,7 @@ def _unpacked(texts: pa.Array) -> pa.Array:
 def _dealt(staged: DataFrame, rows: DataFrame, text_col: str, *parts: int) -> DataFrame:
     """Every copy of every staged row (sender, seq, row) with its training position ``at``, range-sorted by it.
 
-    Texts move compressed, as every copy of a document does. A number of ``parts`` keeps small ranges from being merged
+    Texts move compressed, as they were staged, and every copy of a document moves. A number of ``parts`` keeps small ranges from being merged
     into larger tasks.
     """
     def at(copy: int) -> Column:
@@ -166,20 +166,20 @@ def _dealt(staged: DataFrame, rows: DataFrame, text_col: str, *parts: int) -> Da
     places = [f"at{copy}" for copy in range(1, MAX_COPIES + 1)]
     placed = settle(rows.filter("copies > 0").select(
         "sender", "seq", "copies", *[at(i).alias(p) for i, p in enumerate(places, 1)]), "mixing-at")
-    row, text = F.col("row"), quoted(text_col)
-    packed = carried(staged.select("sender", "seq", "row", "key"), placed, ["copies", *places]).select(
-        "sender", "seq", "key", "copies", *places, F.arrow_udf(_packed, "binary")(row.getField(text_col)).alias("packed"),
-        row.withField(text, F.lit(None).cast("string")).alias("row"))
-    copies = packed.select("sender", "seq", "row", "packed", "key", F.posexplode(F.slice(
-        F.array(*places), 1, F.col("copies"))).alias("copy", "at")).withColumn("copy", F.col("copy") + 1)
+    copies = carried(staged.select("sender", "seq", "row", "packed", "key"), placed, ["copies", *places]).select(
+        "sender", "seq", "row", "packed", "key", F.posexplode(F.slice(F.array(*places), 1, F.col("copies"))).alias("copy", "at")) \
+        .withColumn("copy", F.col("copy") + 1)
     ordered = copies.repartitionByRange(*parts, "at", "key", "copy").sortWithinPartitions("at", "key", "copy")
     return ordered.withColumn("text", F.arrow_udf(_unpacked, "string")("packed")).select(
-        "sender", "seq", row.withField(text, F.col("text")).alias("row"), "key", "copy", "at")
+        "sender", "seq", F.col("row").withField(quoted(text_col), F.col("text")).alias("row"), "key", "copy", "at")
 
 
 def _staged(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Rows with their measures, the text apart and compressed."""
     ship(docs.sparkSession)
-    return stage(docs, "mixing", **_measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col))
+    measures = _measures(lambda c: F.col("row").getField(c), id_col, text_col, source_col)
+    return stage(docs, "mixing", lambda row: row.withField(quoted(text_col), F.lit(None).cast("string")),
+                 packed=F.arrow_udf(_packed, "binary")(F.col("row").getField(text_col)), **measures)
 
 
 def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -191,7 +191,7 @@ def scheduled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     out on measures alone; whole rows move once, to their place.
     """
     staged = _staged(docs, id_col, text_col, source_col)
-    ordered = _dealt(staged, _placed(staged.drop("row"), schedules), text_col)
+    ordered = _dealt(staged, _placed(staged.drop("row", "packed"), schedules), text_col)
     return ordered.select(*[F.col("row").getField(c).alias(c) for c in docs.columns],
                           F.col("at").alias(free("mix_position", docs)), F.col("copy").alias(free("mix_copy", docs)))
 
@@ -204,7 +204,7 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     the address of the document. Documents that the mix leaves out have none.
     """
     staged = _staged(docs, id_col, text_col, source_col)
-    rows = _placed(staged.drop("row"), schedules)
+    rows = _placed(staged.drop("row", "packed"), schedules)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mix = settle(_dealt(staged, rows, text_col, parts), "mixing-mix")
     counted = mix.groupBy("sender", "seq").agg(
