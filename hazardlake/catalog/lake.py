@@ -98,13 +98,10 @@ def partitioned_scan(t):
 @query("src_10", """SELECT 'raw' AS origin, count(*) AS hotspots, round(max(frp), 6) AS frp_max FROM fx_kept
 UNION ALL SELECT 'clean', count(*), round(max(frp), 6) FROM fx_kept""")
 def clean_or_raw(t):
-    raw, missing, clean = raw_csv(t)[0], new_folder(t.spark, "absent"), new_folder(t.spark, "clean")
-    both = det.clean(det.read_csv(t.spark, raw_csv(t)))
-    both.write.parquet(clean)
+    raw, missing, clean = raw_csv(t), new_folder(t.spark, "absent"), new_folder(t.spark, "clean")
+    det.clean(det.read_csv(t.spark, raw)).write.parquet(clean)
     stored = det.read_clean_or_raw(t.spark, clean, missing)
-    single = det.read_clean_or_raw(t.spark, missing, raw)
-    other = det.clean(t.detections.filter(F.col("satelite") == "VIIRS NOAA-20"))
-    fallback = access.union_all([single, other])
+    fallback = det.read_clean_or_raw(t.spark, missing, [*raw, missing])
 
     def figures(df, origin):
         return df.agg(F.lit(origin).alias("origin"), F.count("*").alias("hotspots"), F.max("frp").alias("frp_max"))

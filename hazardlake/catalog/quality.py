@@ -280,15 +280,21 @@ def alert_messages(t):
     return messages.critical_weather_alerts(valid).select("key", parsed.alias("v")).select("key", "v.*")
 
 
-@query("snk_10", """SELECT topic, grid_id AS key, count(*) AS messages FROM fx_weather,
- (VALUES ('weather-data'), ('sensor-events')) x(topic) GROUP BY topic, grid_id
-UNION ALL SELECT 'sensor-events', 'ICNF', count(*) FROM part""")
+@query("snk_10", """SELECT topic, grid_id AS key, event_id AS numero, round(temp_max, 6) AS valor FROM fx_weather,
+ (VALUES ('weather-data'), ('sensor-events')) x(topic)
+UNION ALL SELECT 'sensor-events', 'ICNF', p_partkey, NULL FROM part""")
 def publications(t):
+    """Every message with its content; the second batch is sent twice, as after a failure."""
     path = new_folder(t.spark, "topics")
-    messages.write_folder(messages.publications(t.weather, [k.WEATHER_TOPIC, k.SENSOR_TOPIC]), path)
-    messages.write_folder(messages.vegetation_publications(t.table("part").select("p_partkey", "p_type")), path)
+    weather = messages.message_sink(lambda rows: messages.publications(rows, [k.WEATHER_TOPIC, k.SENSOR_TOPIC]), path)
+    vegetation = messages.message_sink(messages.vegetation_publications, path)
+    weather(t.weather, 0)
+    for _ in range(2):
+        vegetation(t.table("part").select("p_partkey", "p_type"), 1)
     stored = t.spark.read.schema("key string, value string, topic string").json(path)
-    return stored.groupBy("topic", "key").agg(F.count("*").alias("messages"))
+    parsed = F.from_json("value", "event_id long, p_partkey long, temp_max double")
+    return stored.select("topic", "key", parsed.alias("v")).select(
+        "topic", "key", F.coalesce("v.event_id", "v.p_partkey").alias("numero"), F.col("v.temp_max").alias("valor"))
 
 
 # --- access patterns ----------------------------------------------------------------------------------

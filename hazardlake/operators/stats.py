@@ -5,11 +5,13 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql.types import ArrayType, StructType
 
 # The bracketing sketch has a rank error of 1 / SKETCH_ACCURACY per group; brackets reach
 # four times as far to either side of a wanted rank.
 SKETCH_ACCURACY = 2000
 BINS = 256
+BIT_WORDS = 1 << 18  # 64-bit words of the table of repeated fingerprints: 4 MB with their numbers
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -18,6 +20,21 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_row", packed.scalar()).select(*df.columns, "_row.*")
 
 
+def held(few: DataFrame) -> DataFrame:
+    """The rows of a small result as constants of the plan: whoever uses them does not run again what made them."""
+    def literal(value, kind) -> Column:
+        if value is not None and isinstance(kind, StructType):
+            return F.struct(*[literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)])
+        if value is not None and isinstance(kind, ArrayType):
+            return F.array(*[literal(v, kind.elementType) for v in value])
+        return F.lit(value).cast(kind)
+
+    spark, rows = few.sparkSession, [literal(r, few.schema) for r in few.collect()]
+    if not rows:
+        return spark.createDataFrame([], few.schema)
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 # --- quantiles --------------------------------------------------------------------------
 
 def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None) -> DataFrame:
@@ -38,7 +55,8 @@ def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: s
     # inside a struct a null group is equal to itself
     group = F.struct((F.col(by) if by else F.lit(0)).alias("key"))
     values = df.select(group.alias("_g"), column.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
-    targets = _brackets(values, list(probs.values()))
+    # a row per group; small results of passes are kept on the driver, not nested in the plan of the next
+    targets = held(_brackets(values, list(probs.values())))
     found = _ranked(values, targets, grouped=by is not None)
     # every group and quantile that is wanted, whether or not its rank was found
     wanted = targets.select("_g", F.inline("targets")).select("_g", "i", "rank")
@@ -49,7 +67,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: s
     checked = F.when(F.col("low").isNull() | F.col("high").isNull(), missed).otherwise(interpolated)
     result = joined.groupBy("_g").agg(*[
         F.max(F.when(F.col("i") == i, checked)).alias(name) for i, name in enumerate(probs)])
-    return result.select(*([F.col("_g.key").alias(by)] if by else []), *probs)
+    return held(result.select(*([F.col("_g.key").alias(by)] if by else []), *probs))
 
 
 def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
@@ -202,26 +220,71 @@ def _bars(ranged: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
 # --- whole-table profiles ---------------------------------------------------------------------
 
 def correlations(df: DataFrame, columns) -> DataFrame:
-    """Lower triangle of the Pearson matrix over the present columns, in one pass.
+    """Lower triangle of the Pearson matrix over the present columns, from one pass without further rows.
 
+    Each task adds up the co-moments of all pairs, a batch at a time, and sends one row per pair.
     Each row counts for the pairs it has both values of. Fewer than three columns give no
     rows, and a pair without variance has no coefficient.
     """
     present = [c for c in columns if c in df.columns]
     names = [(b, a) for a, b in combinations(present, 2)] if len(present) >= 3 else []
-    pairs = df.sparkSession.createDataFrame(names, "column_a string, column_b string")
     if not names:
-        return pairs.withColumn("r", F.lit(None).cast("double"))
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in names])
-    both = df.select(F.inline(cells)).filter("x IS NOT NULL AND y IS NOT NULL")
-    coefficients = both.groupBy("column_a", "column_b").agg(F.expr(
-        "CASE WHEN min(x) < max(x) AND min(y) < max(y) "
-        "THEN try_divide(covar_pop(x, y), sqrt(var_pop(x) * var_pop(y))) END").alias("r"))
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(present)])
+    parts = numbers.mapInArrow(_co_moments([(present.index(a), present.index(b)) for a, b in names]), _CO_MOMENTS)
+    whole = parts.groupBy("pair").agg(
+        F.sum(F.col("n") * F.col("mx")).alias("sx"), F.sum(F.col("n") * F.col("my")).alias("sy"), F.sum("n").alias("all"))
+    # around the common means: what each task found around its own, and the distance of those
+    dx, dy = F.col("mx") - F.col("sx") / F.col("all"), F.col("my") - F.col("sy") / F.col("all")
+    moments = parts.join(whole, "pair").groupBy("pair").agg(
+        F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("xx"), F.sum(F.col("cyy") + F.col("n") * dy * dy).alias("yy"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("xy"),
+        ((F.min("lx") < F.max("hx")) & (F.min("ly") < F.max("hy"))).alias("varies"))
+    pairs = df.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(names)], "pair int, column_a string, column_b string")
     # at most one row per pair on either side
-    return pairs.join(F.broadcast(coefficients), ["column_a", "column_b"], "left")
+    return pairs.join(F.broadcast(moments), "pair", "left").select(
+        "column_a", "column_b", F.expr("CASE WHEN varies THEN try_divide(xy, sqrt(xx * yy)) END").alias("r"))
+
+
+_CO_MOMENTS = ("pair int, n double, mx double, my double, cxx double, cyy double, cxy double, lx double, hx double, "
+               "ly double, hy double")
+
+
+def _co_moments(pairs: list[tuple[int, int]]):
+    """One row per task and pair of columns: rows with both values, their means, co-moments, and limits.
+
+    Sums are taken around a task's first values, so that they lose no digits to large means.
+    """
+    def scan(batches):
+        # within, so that workers need nothing of this package
+        import numpy as np
+        import pyarrow as pa
+
+        names = ("pair", "n", "mx", "my", "cxx", "cyy", "cxy", "lx", "hx", "ly", "hy")
+        sums, around = {}, {}
+        for batch in batches:
+            valid = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            values = [c.fill_null(0).to_numpy(zero_copy_only=False) for c in batch.columns]
+            for i, (a, b) in enumerate(pairs):
+                both = valid[a] & valid[b]
+                x, y = (values[a], values[b]) if both.all() else (values[a][both], values[b][both])
+                if not len(x):
+                    continue
+                around.setdefault(i, (x[0], y[0]))
+                dx, dy = x - around[i][0], y - around[i][1]
+                found = np.array([len(x), dx.sum(), dy.sum(), dx @ dx, dy @ dy, dx @ dy])
+                limits = np.array([x.min(), y.min(), -x.max(), -y.max()])
+                before = sums.get(i)
+                sums[i] = (found, limits) if before is None else (before[0] + found, np.minimum(before[1], limits))
+        rows = []
+        for i, ((n, sx, sy, xx, yy, xy), (lx, ly, hx, hy)) in sums.items():
+            rows.append((i, n, around[i][0] + sx / n, around[i][1] + sy / n, xx - sx * sx / n, yy - sy * sy / n,
+                         xy - sx * sy / n, lx, -hx, ly, -hy))
+        kinds = [pa.int32()] + [pa.float64()] * 10
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 11, kinds)], names=list(names))
+
+    return scan
 
 
 def describe(df: DataFrame, columns, decimals: int = 2) -> DataFrame:
@@ -256,12 +319,20 @@ def null_profile(df: DataFrame, columns=None) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows equal to an earlier one: their count and percentage. Nulls compare equal.
 
-    One pass counts 64-bit fingerprints, which gives the number of rows as well. Whole rows are
-    grouped only where a fingerprint repeats, which keeps the count exact when fingerprints collide.
+    One pass counts 64-bit fingerprints, which gives the number of rows as well. Whole rows are moved and
+    grouped only where a fingerprint repeats, which keeps the count exact when fingerprints collide; a bit table of
+    fixed size tells where that may be, before any row moves.
     """
     marked = df.withColumn("_print", F.xxhash64(*df.columns))
     prints = marked.groupBy("_print").agg(F.count("*").alias("_c"))
-    rows = marked.join(prints.filter("_c > 1").select("_print"), "_print", "left_semi").select(*df.columns)
+    repeated = prints.filter("_c > 1").select("_print")
+    # a bit table of the repeated ones, at most BIT_WORDS rows, keeps rows out that cannot repeat
+    place = F.pmod(F.col("_print"), F.lit(64 * BIT_WORDS))
+    table = repeated.groupBy(F.floor(place / 64).alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(_print, {64 * BIT_WORDS}) % 64 AS INT))")).alias("_bits"))
+    likely = marked.withColumn("_word", F.floor(place / 64)).join(F.broadcast(table), "_word") \
+        .filter(F.getbit("_bits", (place % 64).cast("int")) == 1)
+    rows = likely.join(repeated, "_print", "left_semi").select(*df.columns)
     extra = rows.groupBy(*df.columns).agg(F.count("*").alias("_c")).agg(
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates"))
     total = prints.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from hazardlake import constants as k
@@ -37,6 +39,28 @@ def vegetation_publications(vegetation: DataFrame) -> DataFrame:
     return publications(vegetation, [k.SENSOR_TOPIC], constant_key=k.VEGETATION_KEY)
 
 
+def message_sink(make: Callable[[DataFrame], DataFrame], path: str | None = None,
+                 servers: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink for micro-batches: ``make(batch)`` is sent to a folder of envelope files, or to a broker.
+
+    In a folder each batch owns its ``batch_id`` part, so a replay replaces its own messages and adds none. A broker
+    gets a replayed batch again; its number is part of every message's headers, for consumers to drop what they have seen.
+    """
+    if (path is None) == (servers is None):
+        raise ValueError("give a path or servers")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sent = make(batch)
+        if path:
+            sent.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").json(path)
+        else:
+            number = F.struct(F.lit("batch_id").alias("key"), F.lit(str(int(batch_id))).cast("binary").alias("value"))
+            write_broker(sent.withColumn("headers", F.array(number)), servers)
+
+    return write
+
+
 def write_folder(messages: DataFrame, path: str) -> None:
     """Append messages to a folder of envelope files, as a file-based topic."""
     messages.write.mode("append").json(path)

@@ -53,13 +53,12 @@ def with_zone(df: DataFrame) -> DataFrame:
     return df.withColumn("grid_id", nearest_zone(F.col("latitude"), F.col("longitude")))
 
 
-def read_clean_or_raw(spark: SparkSession, clean_path: str, raw_path: str) -> DataFrame | None:
-    """Cleaned Parquet when it exists, else the raw CSV through the same cleaning, else None."""
+def read_clean_or_raw(spark: SparkSession, clean_path: str, raw_paths: str | list[str]) -> DataFrame | None:
+    """Cleaned Parquet when it exists, else those raw CSV folders that do through the same cleaning, else None."""
     if path_exists(spark, clean_path):
         return keep_columns(spark.read.parquet(clean_path))
-    if path_exists(spark, raw_path):
-        return clean(read_csv(spark, raw_path))
-    return None
+    raw = [p for p in ([raw_paths] if isinstance(raw_paths, str) else raw_paths) if path_exists(spark, p)]
+    return clean(read_csv(spark, raw)) if raw else None
 
 
 def normalise_feed(feed: DataFrame, received_at: Column | None = None,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -155,3 +157,42 @@ def test_null_profile(spark):
 def test_dense_months(spark):
     months = stats.dense_months(spark.createDataFrame([(2, 5)], "mes int, n bigint"), {"n": 0})
     assert [r.n for r in months.orderBy("mes").collect()] == [0, 5] + [0] * 10
+
+
+def test_correlations_of_uneven_parts(spark):
+    """Gaps, large means, constants and a NaN, in partitions of different sizes, some without rows."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=900) + 1e9
+    data = {"a": a, "b": a * 0.5 + rng.normal(size=900), "c": rng.normal(size=900), "flat": np.full(900, 0.1), "nan": rng.normal(size=900)}
+    data["nan"][5] = np.nan
+    gaps = {c: rng.random(900) < 0.2 for c in data}
+    rows = [tuple(None if gaps[c][i] and c != "nan" else float(v[i]) for c, v in data.items()) for i in range(900)]
+    frame = spark.createDataFrame(rows[:5], "a double, b double, c double, flat double, nan double").unionAll(
+        spark.createDataFrame(rows[5:], "a double, b double, c double, flat double, nan double").repartition(3)).unionAll(
+        spark.createDataFrame([], "a double, b double, c double, flat double, nan double"))
+    found = {(r.column_a, r.column_b): r.r for r in stats.correlations(frame, list(data)).collect()}
+    assert len(found) == 10
+    for x, y in (("b", "a"), ("c", "a"), ("c", "b")):
+        both = ~gaps[x] & ~gaps[y]
+        assert abs(found[x, y] - np.corrcoef(data[x][both], data[y][both])[0, 1]) < 1e-6
+    assert found["flat", "a"] is None and math.isnan(found["nan", "c"])
+    nothing = stats.correlations(frame.limit(0), list(data)).collect()
+    assert len(nothing) == 10 and all(r.r is None for r in nothing)
+
+
+def test_unique_rows_stay_where_they_are(spark):
+    """Beyond the counting of fingerprints, only rows that the bit table lets through are exchanged."""
+    frame = spark.range(4_000).select((F.col("id") % 3_990).alias("a"), F.lit("x" * 50).alias("wide")).repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = stats.duplicate_rows(frame)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.collect()[0].duplicates == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_bits" in plan and "BroadcastHashJoin" in plan
+    # the exchange of whole rows lies above the join with the table
+    lines = plan.splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    assert any("Exchange hashpartitioning(_print" in line for line in lines[:join])
+    assert not any("Exchange hashpartitioning(a#" in line for line in lines[join:])
