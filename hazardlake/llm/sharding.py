@@ -21,7 +21,7 @@ SHARDS = 16
 DIGIT = 12  # bits of the key that one round of probes resolves
 CELLS = 1 << DIGIT
 TOLERANCE = 0.002  # of a shard's bytes
-WHOLE = 0.05  # of a shard's bytes: copies of a text that take no more stay in one shard
+WHOLE = 0.05  # of a shard's bytes: by default, copies of a text that take no more stay in one shard
 BITS = 64  # of each part of the key
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 PARTS = ("text_hash", "id_hash", "row_hash")
@@ -62,8 +62,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 LEVELS = -(-BITS // DIGIT)
 
 
-def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[Splitter]:
-    """The first keys of shards 1, 2 and so on.
+def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, whole: float = WHOLE) -> list[Splitter]:
+    """The first keys of shards 1, 2 and so on. For ``whole`` see :func:`sharded`.
 
     Each round is one aggregate; the driver gets at most one count for each of the 4096 probes of
     every splitter still open.
@@ -108,7 +108,7 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
             else:
                 value = digit - CELLS // 2 if level == 0 else ((prefix or 0) << width) | digit
                 end = level == LEVELS - 1
-                if step == len(PARTS) * LEVELS - 1 or (end and held[digit] <= WHOLE * total / shards):
+                if step == len(PARTS) * LEVELS - 1 or (end and held[digit] <= whole * total / shards):
                     found[n] = _probe(level, within.get(n, ()), prefix, digit if low_first else digit + 1, shift, width)
                     del open_[n]
                 elif end:
@@ -157,7 +157,7 @@ def _exchanged(staged: DataFrame, first_keys: list[Splitter]) -> DataFrame:
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", whole: float = WHOLE) -> DataFrame:
     """The sharded documents: whole rows, read from the files of their shard, with their slot there.
 
     The columns of ``docs`` come back with ``shard_number`` and ``shard_slot``, which has no gaps and follows
@@ -166,9 +166,13 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
     or by the one document, or the copies of the one text, at the border. Rows that repeat both id and text
     are told apart by their staged address, which also sets their slots. An empty table gives no rows. An underscore is
     added to a new name that ``docs`` has itself.
+
+    ``whole`` says which law gives way where a shard's border falls within the copies of one text. Copies that take no
+    more than this part of a shard's bytes stay in one shard, which may then miss its share by them; copies that take
+    more are parted by id, and by address where the id repeats, and sizes stay within the tolerance.
     """
     staged = keyed(docs, id_col, text_col)
-    rows = _exchanged(staged, splitters(staged.select("size", *PARTS), shards, tolerance))
+    rows = _exchanged(staged, splitters(staged.select("size", *PARTS), shards, tolerance, whole))
     # a row per task and shard; a task's rows of a shard stand together
     runs = rows.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -216,6 +216,20 @@ def test_shards_are_near_equal_with_a_hot_text(spark):
     assert sum(len(s) > 1 for s in shards_of.values()) == 1  # the hot text alone
 
 
+@pytest.mark.parametrize("whole, parted", [(0.2, False), (0.005, True)])
+def test_copies_stay_in_one_shard_up_to_a_part_of_it(spark, whole, parted):
+    """On one side of the limit copies stay together, on the other sizes are as near equal as asked."""
+    docs = spark.range(16_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text of group "), F.floor(F.col("id") / 100)).alias("text"))
+    sizes, shards_of = Counter(), defaultdict(set)
+    for r in sharding.sharded(docs, whole=whole).collect():
+        sizes[r.shard_number] += len(r.text) + 1
+        shards_of[r.text].add(r.shard_number)
+    mean = sum(sizes.values()) / 16
+    assert (max(len(s) for s in shards_of.values()) > 1) == parted
+    assert max(abs(s - mean) for s in sizes.values()) < (0.01 if parted else 0.2) * mean
+
+
 @pytest.mark.parametrize("repeated", [7, None])
 def test_shards_are_near_equal_with_a_repeated_row(spark, repeated):
     hot = F.col("id") % 3 == 0
