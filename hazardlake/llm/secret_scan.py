@@ -24,15 +24,15 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 WINDOW = 20
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 # Bits per character in the best window, by character class; a window of 20 can reach 4.32.
-LIMITS = {"hex": 3.0, "alnum": 3.6, "base64": 3.8}
+LIMITS = {"hex": 3.0, "letters": 4.0, "alnum": 3.6, "base64": 3.8}
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # UUIDs
     r"^[0-9]+$",  # plain numbers
-    r"^[A-Za-z]+$",  # words run together
-    r"^[A-Za-z]+(?:[/_-][A-Za-z]+)*$",  # paths and identifiers
     r"^/?(?:[a-z0-9_]+/){2,}[a-z0-9_]+$",  # lower-case paths
-    r"(?i)example|sample|placeholder|abcdefgh|01234567",
+    r"EXAMPLE(?:KEY)?$",  # keys of manuals
 )
+WORDED = r"(?i)[A-Za-z0-9+=]*(?:example|sample|placeholder|abcdefgh|01234567)[A-Za-z0-9+=]*"  # parts with an allowed word
+WORDS = r"^[A-Za-z/_-]+$"  # paths and identifiers of letters
 
 
 def _spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
@@ -90,8 +90,17 @@ def _entropy(candidate: Column) -> Column:
     return F.aggregate(steps, start, slide, lambda acc: F.log2(F.lit(float(WINDOW))) - acc["least"] / WINDOW)
 
 
+def _pieces(run: Column) -> Column:
+    """What is judged of a run: long pieces without allowed words."""
+    left = F.split(F.regexp_replace(run, WORDED, " "), " ")
+    return F.filter(F.flatten(F.transform(
+        left, lambda p: F.when(p.rlike(WORDS), F.split(p, "[/_-]")).otherwise(F.array(p)))),
+        lambda p: F.length(p) >= WINDOW)
+
+
 def _limit(candidate: Column) -> Column:
     return F.when(candidate.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]) \
+        .when(candidate.rlike("^[A-Za-z]+$"), LIMITS["letters"]) \
         .when(candidate.rlike("^[A-Za-z0-9]+$"), LIMITS["alnum"]).otherwise(LIMITS["base64"])
 
 
@@ -118,7 +127,8 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         allowed = F.lit(False)
         for form in ALLOWED:
             allowed = allowed | candidate.rlike(form)
-        return F.when(allowed, F.lit(False)).otherwise(_entropy(candidate) >= _limit(candidate))
+        return F.when(allowed, F.lit(False)).otherwise(
+            F.exists(_pieces(candidate), lambda piece: _entropy(piece) >= _limit(piece)))
 
     return found.select("id", "base", F.array_sort(F.concat("base", F.filter("runs", secret))).alias("spans"))
 
