@@ -24,6 +24,17 @@ def trigrams(text: str) -> np.ndarray:
     return counts
 
 
+def _least_distance(code: np.ndarray) -> int:
+    """Between any two codewords, compared in blocks."""
+    signs = 2.0 * code.astype(np.float32) - 1.0
+    least = code.shape[1]
+    for lo in range(0, len(code), 1024):
+        apart = (code.shape[1] - signs[lo:lo + 1024] @ signs.T) / 2
+        apart[np.arange(len(apart)), np.arange(lo, lo + len(apart))] = code.shape[1]
+        least = min(least, int(round(float(apart.min()))))
+    return least
+
+
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """A row of bits per class. Up to seven classes get every split of the classes in two,
     more get the best of some random codes, by the least distance between two codewords."""
@@ -33,8 +44,7 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     width = 12 * int(np.ceil(np.log2(n)))
     codes = [rng.integers(0, 2, (n, width), dtype=np.int8) for _ in range(30)]
-    distances = [min((a != b).sum() for i, a in enumerate(code) for b in code[:i]) for code in codes]
-    best = codes[int(np.argmax(distances))]
+    best = codes[int(np.argmax([_least_distance(code) for code in codes]))]
     return best[:, (best.min(axis=0) != best.max(axis=0))]
 
 
@@ -46,20 +56,24 @@ class Model(NamedTuple):
     reach: np.ndarray  # from there to either
 
 
-def fit(languages: list[str], counts: np.ndarray) -> Model:
-    """One naive-Bayes classifier for each bit, from trigram counts per language.
+def weigh(counts: np.ndarray, totals: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For some of the trigrams: the log odds of each bit, and what its ones and its zeros expect of their sum.
 
-    The languages on either side of a bit weigh the same, whatever their share of the corpus.
+    ``counts`` has a row per language, ``totals`` the size of its whole table. The languages on either
+    side of a bit weigh the same, whatever their share of the corpus.
     """
-    smooth = counts + SMOOTHING
-    shares = smooth / smooth.sum(axis=1, keepdims=True)
-    codes = codewords(len(languages))
-    ones = np.stack([shares[codes[:, b] == 1].mean(axis=0) for b in range(codes.shape[1])], axis=1) \
-        if codes.shape[1] else np.ones((TABLE, 0))
-    zeros = np.stack([shares[codes[:, b] == 0].mean(axis=0) for b in range(codes.shape[1])], axis=1) \
-        if codes.shape[1] else np.ones((TABLE, 0))
+    shares = (counts + SMOOTHING) / (totals + SMOOTHING * TABLE)[:, None]
+    ones, zeros = (np.stack([shares[codes[:, b] == side].mean(axis=0) for b in range(codes.shape[1])], axis=1)
+                   if codes.shape[1] else np.ones((counts.shape[1], 0)) for side in (1, 0))
     weights = np.log(ones / zeros)
-    high, low = (ones * weights).sum(axis=0), (zeros * weights).sum(axis=0)
+    return weights, (ones * weights).sum(axis=0), (zeros * weights).sum(axis=0)
+
+
+def model_of(languages: list[str], codes: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+    """One naive-Bayes classifier for each bit, from what ``weigh`` found for the parts of the table in their order."""
+    bits = codes.shape[1]
+    weights = np.concatenate([w for w, _, _ in parts]) if parts else np.zeros((TABLE, bits))
+    high, low = (np.sum([p[i] for p in parts], axis=0) if parts else np.zeros(bits) for i in (1, 2))
     return Model(languages, codes, weights.astype(np.float32), (high + low) / 2, np.maximum((high - low) / 2, 1e-9))
 
 

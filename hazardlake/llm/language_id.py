@@ -11,9 +11,9 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hazardlake.llm import ecoc
-from hazardlake.llm.common import column, enter, free, give_back, ship
+from hazardlake.llm.common import column, enter, free, give_back, settle, ship
 
-MAX_LANGUAGES = 512
+PARTS = 64  # of the table of trigrams, each fitted in one group of a row per language
 SALTS = 1024  # first-level groups when counts of tasks are added up
 AMBIGUOUS_LEAD = 0.25  # of the second codeword's loss over the first's
 ROWS = 64  # texts whose counts are in memory at once, 64 kB each
@@ -46,12 +46,43 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": group.lang.iloc[:1], "counts": [total.tobytes()]})
 
 
+def _total(group: pd.DataFrame) -> pd.DataFrame:
+    added = _add(group)
+    return added.assign(total=[int(np.frombuffer(c, np.int64).sum()) for c in added["counts"]])
+
+
+def _cut(numbers: dict[str, int]):
+    """The counts of each language in parts of the table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = ecoc.TABLE // PARTS
+        for batch in batches:
+            for lang, counts in zip(batch["lang"].to_pylist(), batch["counts"].to_pylist()):
+                table = np.frombuffer(counts, np.int64)
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(range(PARTS), pa.int32()), "nr": pa.array([numbers[lang]] * PARTS, pa.int32()),
+                    "counts": [table[p * width:(p + 1) * width].tobytes() for p in range(PARTS)]})
+
+    return run
+
+
+def _fit(codes: np.ndarray, totals: np.ndarray):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("nr")
+        counts = np.stack([np.frombuffer(c, np.int64) for c in rows.counts])
+        found = ecoc.weigh(counts, totals[rows.nr], codes)
+        return pd.DataFrame({"part": rows.part.iloc[:1], **{n: [f.tobytes()] for n, f in zip(("weights", "high", "low"), found)}})
+
+    return run
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ecoc.Model:
     """Classifiers from all labelled documents that are not held out.
 
     Each task counts trigrams per language in one array; the arrays are added up in two levels,
-    so a language with most of the documents makes no large group. The driver gets one array
-    of 64 kB per language, for at most ``MAX_LANGUAGES`` languages.
+    so a language with most of the documents makes no large group. The bits are fitted in Spark, a part of
+    the trigrams at a time over all languages, so their number has no limit. The driver gets the names and sizes of the
+    languages and the classifiers, whose number grows with the logarithm of that of the languages.
+    Without a labelled document the model has no languages.
     """
     labelled = docs.filter(
         column(lang_col).isNotNull() & column(text_col).isNotNull() & column(id_col).isNotNull()
@@ -59,12 +90,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counted = labelled.mapInArrow(_count, "lang string, counts binary")
     salted = counted.withColumn("salt", F.spark_partition_id() % SALTS)
     added = salted.groupBy("lang", "salt").applyInPandas(_add, "lang string, counts binary")
-    rows = added.groupBy("lang").applyInPandas(_add, "lang string, counts binary").limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
-    rows.sort(key=lambda r: r.lang)
-    counts = np.array([np.frombuffer(r.counts, np.int64) for r in rows]).reshape(len(rows), ecoc.TABLE)
-    return ecoc.fit([r.lang for r in rows], counts)
+    tables = settle(added.groupBy("lang").applyInPandas(_total, "lang string, counts binary, total bigint"), "languages")
+    sizes = sorted((r.lang, r.total) for r in tables.select("lang", "total").collect())
+    codes = ecoc.codewords(len(sizes))
+    parts = tables.select("lang", "counts").mapInArrow(
+        _cut({lang: nr for nr, (lang, _) in enumerate(sizes)}), "part int, nr int, counts binary")
+    fitted = parts.groupBy("part").applyInPandas(
+        _fit(codes, np.array([total for _, total in sizes], np.int64)), "part int, weights binary, high binary, low binary")
+    found = sorted(fitted.collect(), key=lambda r: r.part)
+    arrays = [[np.frombuffer(c) for c in (r.weights, r.high, r.low)] for r in found]
+    return ecoc.model_of([lang for lang, _ in sizes], codes,
+                         [(w.reshape(ecoc.TABLE // PARTS, codes.shape[1]), h, low) for w, h, low in arrays])
 
 
 def _predict(model: ecoc.Model):

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -240,6 +241,63 @@ def test_language_id(spark, documents):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def brute_languages(rows):
+    """Predictions of one naive-Bayes classifier a bit, by dictionaries of trigrams and plain loops."""
+    def grams(text):
+        raw, found = f" {text.lower()} ".encode(), Counter()
+        for i in range(len(raw) - 2):
+            key = raw[i] | raw[i + 1] << 8 | raw[i + 2] << 16
+            found[(key * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - ecoc.TABLE_BITS] += 1
+        return found
+
+    learned = defaultdict(Counter)
+    for doc_id, text, lang in rows:
+        if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            learned[lang].update(grams(text))
+    names = sorted(learned)
+    codes = ecoc.codewords(len(names))
+    share = [[(learned[n][g] + ecoc.SMOOTHING) / (learned[n].total() + ecoc.SMOOTHING * ecoc.TABLE)
+              for g in range(ecoc.TABLE)] for n in names]
+    bits = []
+    for b in range(codes.shape[1]):
+        sides = [[np.mean([share[c][g] for c in range(len(names)) if codes[c][b] == side]) for g in range(ecoc.TABLE)]
+                 for side in (0, 1)]
+        odds = [np.log(o / z) for z, o in zip(*sides)]
+        low, high = (sum(s * o for s, o in zip(side, odds)) for side in sides)
+        bits.append((odds, (high + low) / 2, (high - low) / 2))
+    mean = np.mean([reach for _, _, reach in bits])
+    for doc_id, text, _ in rows:
+        found = grams(text)
+        margins = [ecoc.STEEPNESS * (sum(n * odds[g] for g, n in found.items()) / found.total() - middle) / reach
+                   for odds, middle, reach in bits]
+        losses = [sum(np.log1p(np.exp(-m if code[b] else m)) * bits[b][2] / mean for b, m in enumerate(margins)) for code in codes]
+        yield doc_id, names[int(np.argmin(losses))], 1 / sum(np.exp(min(losses) - x) for x in losses)
+
+
+@pytest.mark.parametrize("languages", [3, 9])
+def test_language_id_against_plain_loops(spark, languages):
+    rng = random.Random(languages)
+    letters = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéñ", 9)) for _ in range(languages)]
+    rows = [(i, " ".join("".join(rng.choices(letters[i % languages], k=5)) for _ in range(12)), f"l{i % languages}")
+            for i in range(12 * languages)] + [(1000, "ab", "l0"), (1001, "x" * 300, None)]
+    found = language_id.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).select(
+        "doc_id", "language.lang", "language.score").collect()
+    brute = {d: (lang, score) for d, lang, score in brute_languages(rows)}
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.lang == brute[r.doc_id][0] and r.score == pytest.approx(brute[r.doc_id][1], rel=1e-3), r
+
+
+def test_more_languages_than_fit_in_one_table(spark):
+    docs = spark.range(1800).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id") % 600).alias("lang"),
+        F.repeat(F.concat(F.substring(F.sha2((F.col("id") % 600).cast("string"), 256), 1, 40), F.lit(" ")), 3).alias("text"))
+    found = language_id.identified(docs).select("doc_id", "lang", F.col("language.lang").alias("p")).collect()
+    learned = {f"l{i % 600}" for i in range(1800) if zlib.crc32(str(i).encode()) % 4 != 2}
+    known = [r.lang == r.p for r in found if r.lang in learned]
+    assert len(learned) > 512 and sum(known) / len(known) > 0.95
+
+
 def test_language_id_of_odd_rows(odd, empty):
     found = language_id.identified(odd).select("doc_id", "text", "language.lang", "language.score").collect()
     assert len(found) == odd.count()
