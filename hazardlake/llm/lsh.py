@@ -10,6 +10,8 @@ from typing import NamedTuple
 import numpy as np
 
 REACH = 2  # cells to each side that probes go at least
+TRIALS = 100  # vectors of the sample whose probing is tried
+WITHIN = 0.98  # part of them that shall need no more probes than allowed
 DEVIATIONS = 3  # standard deviations of a projection that they go at least
 
 
@@ -31,12 +33,13 @@ def collision(distance: float, width: float) -> float:
 
 
 def tables_for(sample: np.ndarray, rows: int, neighbours: int, bucket: int, tables: int, recall: float,
-               seed: int = 11) -> Tables:
+               probes: int, seed: int = 11) -> Tables:
     """Parameters from a sample and the number of rows.
 
     The radius is the typical distance of the wanted neighbours within the sample, which is not
     below that among all rows. Buckets shall hold ``bucket`` rows on average, whatever the number
-    of rows, so the number of functions grows with its logarithm.
+    of rows, so the number of functions grows with its logarithm; but it stays so small that most
+    of the sample's vectors reach the wanted success within ``probes`` buckets of a table.
     """
     squares = (sample**2).sum(axis=1)
     distances = np.sqrt(np.maximum(squares[:, None] + squares[None] - 2 * sample @ sample.T, 0))
@@ -51,8 +54,15 @@ def tables_for(sample: np.ndarray, rows: int, neighbours: int, bucket: int, tabl
     functions = max(1, int(np.ceil(log(max(rows / bucket, 1.0)) / -log(chance)))) if rows > bucket else 1
     rng = np.random.default_rng(seed)
     dimension = sample.shape[1]
-    return Tables(rng.standard_normal((tables, functions, dimension)), rng.random((tables, functions)) * width,
-                  width, radius, 1 - (1 - recall) ** (1 / tables))
+    hashes = Tables(rng.standard_normal((tables, functions, dimension)), rng.random((tables, functions)) * width,
+                    width, radius, 1 - (1 - recall) ** (1 / tables))
+    _, inside = buckets(sample[:TRIALS], hashes)
+    while functions > 1:
+        within = [visited(row[0, :functions], hashes, probes) is not None for row in inside]
+        if np.mean(within) >= WITHIN:
+            break
+        functions -= 1
+    return hashes._replace(directions=hashes.directions[:, :functions], shifts=hashes.shifts[:, :functions])
 
 
 def buckets(vectors: np.ndarray, hashes: Tables) -> tuple[np.ndarray, np.ndarray]:

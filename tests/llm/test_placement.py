@@ -254,13 +254,16 @@ def test_probes_come_in_falling_order_and_once():
 
 
 def brute_neighbours(rows, k=10):
+    """Of each query id the results of its rows; a row leaves out itself only."""
     good = [(i, np.array(v, np.float64)) for i, v in rows
-            if i is not None and v is not None and len(v) == 64 and None not in v and np.isfinite(v).all() and np.any(v)]
-    found = {}
-    for q, x in good:
-        if q % 100 == 0:
-            found[q] = sorted((float(np.sqrt(((v - x) ** 2).sum())), i) for i, v in good if i != q)[:k]
-    return found
+            if v is not None and None not in v and np.isfinite(v).all() and np.any(v)]
+    found = defaultdict(list)
+    for place, (q, x) in enumerate(good):
+        if q is not None and q % 100 == 0:
+            others = [(float(np.sqrt(((v - x) ** 2).sum())), i is None, i) for n, (i, v) in enumerate(good)
+                      if n != place and len(v) == len(x)]
+            found[q] += [(d, i) for d, _, i in sorted(others, key=lambda o: (o[0], o[1], o[2] or 0))[:k]]
+    return {q: sorted(f, key=lambda o: (o[0], o[1] is None, o[1] or 0)) for q, f in found.items()}
 
 
 def test_neighbours(spark):
@@ -299,15 +302,19 @@ def test_neighbours_of_odd_vectors(spark):
     rows = [(int(i), [float(x) for x in rng.standard_normal(64)]) for i in range(95, 130)]
     rows += [(200, rows[0][1]), (300 + 1, rows[0][1]), (302, rows[0][1]), (400, None), (500, [0.0] * 64),
              (600, [float("nan")] * 64), (700, [float("inf")] + [1.0] * 63), (None, rows[0][1]), (800, [1.0] * 63 + [None])]
+    # repeated ids, with the same vector and with others, and vectors of other lengths
+    rows += [(100, rows[5][1]), (100, rows[5][1]), (100, rows[7][1]), (96, rows[3][1]), (96, rows[1][1])]
+    rows += [(i, [float(x) for x in rng.standard_normal(3)]) for i in (900, 901, 902, 100)] + [(1000, [1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("key", F.lit(1))
     for size in (len(rows), 8):
         part = df.limit(0).unionByName(spark.createDataFrame(rows[:size], "vec_id long, embedding array<float>")
                                        .withColumn("key", F.lit(1)))
         exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows[:size]]
         found = defaultdict(list)
-        for r in neighbours.nearest(part, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        for r in neighbours.nearest(part, F.col("vec_id") % 100 == 0).orderBy("query_id", "score", "rank").collect():
             found[r.query_id].append((r.score, r.vec_id))
-        brute = brute_neighbours(exact)
+        found = {q: sorted(f, key=lambda o: (o[0], o[1] is None, o[1] or 0)) for q, f in found.items()}
+        brute = {q: f for q, f in brute_neighbours(exact).items() if f}
         assert set(found) == set(brute)
         assert all(len(found[q]) == len(brute[q]) for q in brute)
         if size == 8:
