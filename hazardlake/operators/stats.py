@@ -35,9 +35,17 @@ def held(few: DataFrame) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def rows_of(weight: str | None, where: Column | None = None) -> Column:
+    """The number of rows, or of those that hold a condition; a weight says how many each row stands for."""
+    if weight is None:
+        return F.count(F.lit(1)) if where is None else F.count_if(where)
+    return F.coalesce(F.sum(weight if where is None else F.when(where, F.col(weight))), F.lit(0))
+
+
 # --- quantiles --------------------------------------------------------------------------
 
-def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: str | None = None,
+              weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (per group), one column per entry.
 
     Missing values (null or NaN) do not count; a null group is a group. ``by`` must take values of
@@ -46,7 +54,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: s
     No task holds the values of a group. Pass 1 brackets each wanted rank with a small mergeable
     sketch and counts the rows. Pass 2 counts the rows below each bracket and, per distinct value,
     the rows inside it; both counts combine before the shuffle, and values above the bracket are
-    dropped there. What is left is a sliver of the distinct values. A second sketch cuts it into
+    dropped there. Of rows with a weight, which are counted values already, all are kept. What is left is a sliver of the distinct values. A second sketch cuts it into
     bins of about equally many, whatever their spacing, and only the bins that hold a wanted rank
     are put in order. A bracket that misses its rank on either side raises instead of returning a
     wrong value.
@@ -54,7 +62,8 @@ def quantiles(df: DataFrame, value: str | Column, probs: dict[str, float], by: s
     column = (F.col(value) if isinstance(value, str) else value).cast("double")
     # inside a struct a null group is equal to itself
     group = F.struct((F.col(by) if by else F.lit(0)).alias("key"))
-    values = df.select(group.alias("_g"), column.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
+    counted = [F.col(weight).alias("_w")] if weight else []
+    values = df.select(group.alias("_g"), column.alias("_v"), *counted).filter("_v IS NOT NULL AND NOT isnan(_v)")
     # a row per group; small results of passes are kept on the driver, not nested in the plan of the next
     targets = held(_brackets(values, list(probs.values())))
     found = _ranked(values, targets, grouped=by is not None)
@@ -74,11 +83,12 @@ def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
     """One row per group: for each quantile its rank and the edges of its bracket."""
     margin = 4.0 / SKETCH_ACCURACY
     sides = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
+    weight = "_w" if "_w" in values.columns else None
+    sketch = F.percentile_approx("_v", sides, SKETCH_ACCURACY) if weight is None else F.lit(None).cast("array<double>")
     edges = values.groupBy("_g").agg(
-        F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"),
-        F.percentile_approx("_v", sides, SKETCH_ACCURACY).alias("e"))
+        rows_of(weight).alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"), sketch.alias("e"))
     # among few values the two ranks to interpolate between are far apart in share of rows
-    few = F.col("n") < 2 * SKETCH_ACCURACY
+    few = (F.col("n") < 2 * SKETCH_ACCURACY) | F.lit(weight is not None)
     return edges.select("_g", F.array(*[
         F.struct(
             F.lit(i).alias("i"),
@@ -95,10 +105,11 @@ def _ranked(values: DataFrame, targets: DataFrame, grouped: bool) -> DataFrame:
     else:
         bracketed = values.withColumn("targets", targets.select("targets").scalar())
     # each value once per quantile whose bracket it does not exceed
-    hits = bracketed.select("_g", "_v", F.inline("targets")).filter("_v <= hi")
+    weight = [c for c in ("_w",) if c in values.columns]
+    hits = bracketed.select("_g", "_v", *weight, F.inline("targets")).filter("_v <= hi")
     # all values below a bracket count as one
     counted = hits.groupBy("_g", "i", "rank", F.expr("CASE WHEN _v >= lo THEN _v END").alias("v")).agg(
-        F.count("*").alias("c"))
+        rows_of(*weight or [None]).alias("c"))
     shares = ", ".join(str(n / BINS) for n in range(1, BINS))
     # the count is taken along, so that both uses of the counts read one exchange
     cuts = counted.groupBy("_g", "i").agg(
@@ -134,24 +145,24 @@ def clip_upper(df: DataFrame, value: str, prob: float = 0.99, name: str | None =
 
 # --- box statistics ------------------------------------------------------------------------
 
-def box_statistics(df: DataFrame, value: str, group: str, categories) -> DataFrame:
+def box_statistics(df: DataFrame, value: str, group: str, categories, weight: str | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per category.
 
     ``categories`` lists the groups to report, which bounds the fence table that is
     broadcast against the data to its length.
     """
-    rows = df.filter(F.col(group).isin(*categories) & F.col(value).isNotNull()).select(group, value)
+    rows = df.filter(F.col(group).isin(*categories) & F.col(value).isNotNull()).select(group, value, *([weight] if weight else []))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quantiles(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=group).withColumns(
+    fences = quantiles(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=group, weight=weight).withColumns(
         {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     return (
         rows.join(F.broadcast(fences), group)
         .groupBy(group, "q1", "median", "q3")
-        .agg(F.count("*").alias("n"),
+        .agg(rows_of(weight).alias("n"),
              F.min(F.when(inside, F.col(value))).alias("_low"),
              F.max(F.when(inside, F.col(value))).alias("_high"),
-             F.count_if(~inside).alias("outliers"))
+             rows_of(weight, ~inside).alias("outliers"))
         .select(group, "n", "q1", "median", "q3",
                 F.least("q1", "_low").alias("whisker_low"),
                 F.greatest("q3", "_high").alias("whisker_high"), "outliers")
@@ -184,9 +195,9 @@ def bars(long: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
     return _bars(long.join(F.broadcast(_ranges(limits)), "variable"), limits, bins)
 
 
-def bars_of_one(values: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
+def bars_of_one(values: DataFrame, limits: DataFrame, bins: int, weight: str | None = None) -> DataFrame:
     """As ``bars`` for a single variable, whose one row of limits enters as a scalar."""
-    return _bars(attach(values, _ranges(limits)).filter("lo IS NOT NULL"), limits, bins)
+    return _bars(attach(values, _ranges(limits)).filter("lo IS NOT NULL"), limits, bins, weight)
 
 
 def _ranges(limits: DataFrame) -> DataFrame:
@@ -196,14 +207,14 @@ def _ranges(limits: DataFrame) -> DataFrame:
         "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))})
 
 
-def _bars(ranged: DataFrame, limits: DataFrame, bins: int) -> DataFrame:
+def _bars(ranged: DataFrame, limits: DataFrame, bins: int, weight: str | None = None) -> DataFrame:
     name = [c for c in limits.columns if c == "variable"]
     carried = [c for c in limits.columns if c not in ("variable", "lo", "hi")]
     position = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     counts = (
         ranged.filter("v IS NOT NULL")
         .groupBy(*name, "lo", "hi", *carried, F.least(F.lit(bins - 1), position).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .agg(rows_of(weight).alias("n"))
     )
     # at most one entry per bin
     per_variable = counts.groupBy(*name, "lo", "hi", *carried).agg(

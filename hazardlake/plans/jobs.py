@@ -41,36 +41,37 @@ def lake_listing(spark: SparkSession, root: str) -> DataFrame:
     return first
 
 
+# Tables of the detections report by the counted rows that they come from.
+CELL_TABLES = {f.__name__: f for f in (
+    det_ops.peak_month, det_ops.top_region, det_ops.per_year, det_ops.frp_per_year, det_ops.per_month, det_ops.per_season,
+    det_ops.density, det_ops.per_region, det_ops.frp_per_region, det_ops.satellite_share, det_ops.frp_year_satellite,
+)} | {"high_season": det_ops.high_season_share, "year_month": det_ops.year_month_matrix}
+VALUE_TABLES = {f.__name__: f for f in (
+    det_ops.frp_summary, det_ops.frp_outliers, det_ops.frp_histogram, det_ops.frp_by_month, det_ops.frp_by_period,
+    det_ops.frp_axis_cap)}
+
+
 def detection_report(raw: DataFrame) -> dict[str, DataFrame]:
-    """Every table and chart of the detections report."""
-    kept = det_ops.in_country(raw)
-    columns = [c for c in k.DETECTION_COLUMNS if c in kept.columns]
+    """Every table and chart of the detections report.
+
+    The raw input is read twice: for the profile of all rows, and to store the rows inside the country with the columns of
+    the report. These are counted once by cell and once by value of FRP, and the counts are stored; all
+    tables but those on whole rows and on several columns come from the counts.
+    """
+    columns = [c for c in k.DETECTION_COLUMNS if c in raw.columns]
+    needed = list(dict.fromkeys([*columns, *det_ops.NUMERIC, "ano", "mes", "daynight", "satelite"]))
+    kept = sink.stored(det_ops.in_country(raw).select(*needed), "report-rows")
+    totals = sink.stored(det_ops.profile(raw), "report-profile")
+    cells = sink.stored(det_ops.cells(kept), "report-cells")
+    values = sink.stored(det_ops.frp_counts(kept), "report-values")
     return {
-        "profile": det_ops.profile(raw),
-        "outside_share": det_ops.outside_share(raw),
+        "profile": totals,
+        "outside_share": det_ops.outside_share_of(totals),
         "nulls": stats.null_profile(kept, columns),
         "duplicates": stats.duplicate_rows(kept.select(*columns)),
         "describe": det_ops.describe(kept),
-        "frp_summary": det_ops.frp_summary(kept),
-        "frp_outliers": det_ops.frp_outliers(kept),
-        "peak_month": det_ops.peak_month(kept),
-        "high_season": det_ops.high_season_share(kept),
-        "top_region": det_ops.top_region(kept),
-        "per_year": det_ops.per_year(kept),
-        "frp_per_year": det_ops.frp_per_year(kept),
-        "per_month": det_ops.per_month(kept),
-        "year_month": det_ops.year_month_matrix(kept),
-        "per_season": det_ops.per_season(kept),
-        "density": det_ops.density(kept),
-        "per_region": det_ops.per_region(kept),
-        "frp_per_region": det_ops.frp_per_region(kept),
-        "frp_histogram": det_ops.frp_histogram(kept),
-        "frp_by_month": det_ops.frp_by_month(kept),
-        "frp_by_period": det_ops.frp_by_period(kept),
-        "satellite_share": det_ops.satellite_share(kept),
-        "frp_year_satellite": det_ops.frp_year_satellite(kept),
         "correlations": det_ops.correlations(kept),
-    }
+    } | {name: table(cells) for name, table in CELL_TABLES.items()} | {name: table(values) for name, table in VALUE_TABLES.items()}
 
 
 def grid_report(points: DataFrame) -> dict[str, DataFrame]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from hazardlake.session import new_folder
+
 DETECTION_PARTITIONS = ("ano", "mes", "grid_id")
 GRID_PARTITIONS = ("ano", "mes")
 
@@ -40,6 +42,13 @@ def write_yearly(df: DataFrame, csv_path: str, parquet_path: str) -> None:
     write_partitioned(df, parquet_path, ("ano",))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back, so that its users do not run again what made it."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report(tables: dict[str, DataFrame], path: str) -> None:
     """Report tables below one root, each as a Parquet dataset of its name."""
     for name, table in tables.items():
