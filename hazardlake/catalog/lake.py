@@ -8,9 +8,8 @@ from hazardlake import constants as k
 from hazardlake.catalog.fixtures import REGION
 from hazardlake.catalog.registry import query
 from hazardlake.catalog.scalars import VEGETATION_RISK, VEGETATION_TEXT
-from hazardlake.catalog.windows import NEAREST, ZONE_ROWS
-from hazardlake.operators import access, lake_checks as checks
-from hazardlake.operators.windows import detection_windows
+from hazardlake.catalog.windows import COMPOSITE, NEAREST, SLIDE, WINDOW, ZONE_ROWS, composite, edges, windowed
+from hazardlake.operators import access, lake_checks as checks, windows as w
 from hazardlake.plans import jobs
 from hazardlake.session import new_folder
 from hazardlake.sinks import lake as sink
@@ -205,19 +204,19 @@ def slice_of_lake(t):
 # --- checks ----------------------------------------------------------------------------------------
 
 @query("lk_01", PLACED + """SELECT 'hotspots' AS dataset, count(DISTINCT ano) AS years, count(DISTINCT grid_id) AS zones,
- TRUE AS has_files FROM lake
-UNION ALL SELECT 'meteorologia', count(DISTINCT ano), 0, TRUE FROM fx_points""")
+ count(DISTINCT (ano, mes, grid_id)) AS folders, TRUE AS has_files FROM lake
+UNION ALL SELECT 'meteorologia', count(DISTINCT ano), 0, count(DISTINCT (ano, mes)), TRUE FROM fx_points""")
 def inventory(t):
     facts = checks.inventory(jobs.lake_listing(t.spark, published(t)))
-    return facts.select("dataset", "years", "zones", ((F.col("files") > 0) & (F.col("kilobytes") > 0)).alias("has_files"))
+    return facts.select("dataset", "years", "zones", "folders", ((F.col("files") > 0) & (F.col("kilobytes") > 0)).alias("has_files"))
 
 
-@query("lk_02", """SELECT 'hotspots' AS prefix, count(*) > 0 AS has_objects FROM fx_kept
-UNION ALL SELECT 'meteorologia', count(*) > 0 FROM fx_points""")
+@query("lk_02", PLACED + """SELECT 'hotspots' AS prefix, count(DISTINCT (ano, mes, grid_id)) AS folders, TRUE AS has_objects FROM lake
+UNION ALL SELECT 'meteorologia', count(DISTINCT (ano, mes)), TRUE FROM fx_points""")
 def prefixes(t):
     root = published(t)
     counts = checks.files_per_prefix(checks.files(t.spark, root, "lake"), root)
-    return counts.select("prefix", (F.col("objects") > 0).alias("has_objects"))
+    return counts.select("prefix", "folders", (F.col("objects") >= F.col("folders")).alias("has_objects"))
 
 
 READY = """SELECT 'hotspots' AS dataset, (SELECT count(DISTINCT ano) >= 3 FROM fx_kept) AS ready
@@ -245,23 +244,73 @@ def freshness(t):
     return facts.select("dataset", "decision")
 
 
-@query("lk_06", """SELECT 'hotspots' AS dataset, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'missing' END AS state FROM fx_kept
-UNION ALL SELECT 'vegetacao', 'missing'""")
+@query("lk_06", """SELECT 'hotspots' AS dataset, count(DISTINCT (ano, mes)) AS folders,
+ CASE WHEN count(*) > 0 THEN 'ready' ELSE 'missing' END AS state FROM fx_kept UNION ALL SELECT 'vegetacao', 0, 'missing'""")
 def availability(t):
     folder = new_folder(t.spark, "hotspots")
-    t.kept.write.parquet(folder)
-    return checks.availability(checks.files(t.spark, folder, "hotspots"), ["hotspots", "vegetacao"]).select("dataset", "state")
+    sink.write_partitioned(t.kept, folder, ("ano", "mes"))
+    return checks.availability(checks.files(t.spark, folder, "hotspots"), ["hotspots", "vegetacao"]).drop("files")
 
 
-@query("lk_07", "SELECT origin, column_name, origin = 'satellite-hotspots' AS present FROM (VALUES " + ", ".join(
-    f"('{origin}', '{c}')" for origin, names in k.COMPOSITE_CATALOGUE.items() for c in names)
-    + ") v(origin, column_name) WHERE (SELECT count(*) FROM fx_hotspot) > 0")
-def catalogue(t):
+def filled_sql(dataset: str, relation: str, present, absent=()) -> str:
+    """Rows and filled ones per column of a relation; absent columns have none."""
+    names = [*present, *absent]
+    counts = [f"count({c})" for c in present] + ["0"] * len(absent)
+    return (f"SELECT '{dataset}' AS dataset, unnest([{', '.join(repr(c) for c in names)}]) AS column_name, rows, "
+            f"unnest([{', '.join(['TRUE'] * len(present) + ['FALSE'] * len(absent))}]) AS present, unnest(c) AS filled "
+            f"FROM (SELECT count(*) AS rows, [{', '.join(counts)}] AS c FROM {relation})")
+
 
-    return checks.column_catalogue(detection_windows(t.detection_events).drop("grid_id"))
+def lake_with_streams(t, detections, composite) -> str:
+    """A published lake of three datasets."""
+    root = new_folder(t.spark, "lake")
+    jobs.publish(detections, t.points, root)
+    sink.write_partitioned(composite, f"{root}/agregados_streaming", ("grid_id",))
+    return root
+
+
+@query("prj_09", f"""WITH {windowed('fx_sensor', 'ws')}, {windowed('fx_hotspot', 'wh')},
+a AS (SELECT w, grid_id FROM ws GROUP BY w, grid_id), b AS (SELECT w, grid_id, count(*) AS n, avg(frp) AS f FROM wh GROUP BY w, grid_id),
+s AS (SELECT b.n AS n_hotspots, b.f AS frp_medio FROM a LEFT JOIN b ON a.w = b.w AND a.grid_id = b.grid_id)
+""" + filled_sql("hotspots", "fx_kept", ("latitude", "longitude", "frp", "acq_date"), ("confidence",))
+    + " UNION ALL " + filled_sql("meteorologia", "fx_points", ("temp_c", "rh", "wind_speed_kmh"))
+    + " UNION ALL " + filled_sql("agregados_streaming", "s", ("n_hotspots", "frp_medio"), ("risco_composto",)))
+def required_columns(t):
+    """Three stored datasets: one lacks a column, one is whole, one was joined with detections alone."""
+    windows = w.sensor_windows(t.sensor, WINDOW, SLIDE).join(
+        w.detection_windows(t.detection_events, WINDOW, SLIDE), ["window", "grid_id"], "left")
+    root = lake_with_streams(t, t.kept.drop("grid_id", "confidence"), edges(windows))
+    return checks.required_columns({name: src.read_lake(t.spark, f"{root}/{name}") for name in k.LAKE_PREFIXES})
+
+
+@query("prj_10", COMPOSITE + """SELECT CASE WHEN day(janela_inicio) % 2 = 0 THEN 'v1' ELSE 'v2' END AS version, count(*) AS rows,
+ count(DISTINCT grid_id) AS zones, min(janela_inicio) AS first_window, max(janela_inicio) AS last_window FROM composite GROUP BY 1""")
+def output_versions(t):
+    """One folder with files of two versions: sensors alone on even days, all three streams on the others."""
+    path, even = new_folder(t.spark, "agregados"), F.day("janela_inicio") % 2 == 0
+    edges(w.sensor_windows(t.sensor, WINDOW, SLIDE)).filter(even).write.parquet(path)
+    composite(t).filter(~even).write.mode("append").parquet(path)
+    return checks.output_versions(t.spark.read.option("mergeSchema", "true").parquet(path)).drop("files")
+
+
+HOTSPOT_COLUMNS = ("latitude", "longitude", "bright_ti4", "bright_ti5", "frp", "acq_date", "confidence", "daynight",
+                   "satelite", "ano", "mes", "dia", "grid_id", "event_id", "event_time")
+DESCRIBED = "(VALUES " + ", ".join(
+    f"('{dataset}', '{origin}', '{column}', '{text}')" for dataset, origins in k.CATALOGUE.items()
+    for origin, columns in origins.items() for column, text in columns.items()) + ") d(dataset, origin, column_name, description)"
+
+
+@query("lk_07", COMPOSITE + ", found AS (" + filled_sql("hotspots", "fx_kept", HOTSPOT_COLUMNS, ("acq_time", "satellite"))
+       + " UNION ALL " + filled_sql("agregados_streaming", "composite", [c for o in k.COMPOSITE_CATALOGUE.values() for c in o])
+       + f""") SELECT f.dataset, coalesce(d.origin, 'uncatalogued') AS origin, f.column_name, coalesce(d.description, '') AS description,
+ f.present, f.rows, f.filled FROM found f LEFT JOIN {DESCRIBED} ON f.dataset = d.dataset AND f.column_name = d.column_name""")
+def catalogue(t):
+    root = lake_with_streams(t, t.kept.drop("grid_id"), composite(t))
+    tables = [checks.column_catalogue(src.read_lake(t.spark, f"{root}/{name}"), name) for name in k.CATALOGUE]
+    return tables[0].unionByName(tables[1])
 
 
-@query("lk_08", "SELECT count(*) > 0 AS loaded FROM fx_kept")
+@query("lk_08", PLACED + "SELECT DISTINCT CAST(ano AS VARCHAR) AS ano, CAST(mes AS VARCHAR) AS mes, grid_id FROM lake")
 def post_load(t):
     listing = checks.files(t.spark, published(t) + "/hotspots", "hotspots")
-    return listing.agg((F.count("*") > 0).alias("loaded"))
+    return checks.loaded_partitions(listing, sink.DETECTION_PARTITIONS).filter("bytes > 0").select(*sink.DETECTION_PARTITIONS)

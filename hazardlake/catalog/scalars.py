@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from hazardlake import constants as k
 from hazardlake.catalog.fixtures import BOX, LEVEL, REGION
 from hazardlake.catalog.registry import query
-from hazardlake.catalog.windows import composite
 from hazardlake.functions import calendar, climate, geo, hazard, values
-from hazardlake.operators import access, detections as det_ops, lake_checks, stats
+from hazardlake.operators import access, detections as det_ops, stats
 from hazardlake.sources import detections
 
 CRITICAL = "temp_celsius > 35 AND humidity_pct < 20 AND wind_kmh > 30"
@@ -164,19 +163,6 @@ def complete_readings(t):
     return t.sensor.dropna(subset=["temp_celsius", "humidity_pct"]).select("event_id", "temp_celsius", "humidity_pct")
 
 
-@query("prj_09", """SELECT column_name FROM (VALUES ('latitude'), ('longitude'), ('frp'), ('acq_date'), ('confidence'))
- e(column_name) WHERE column_name NOT IN (SELECT unnest(['event_id', 'event_time', 'latitude', 'longitude', 'bright_ti4',
- 'bright_ti5', 'frp', 'confidence', 'daynight', 'satelite', 'grid_id'])) AND (SELECT count(*) FROM fx_hotspot) > 0""")
-def missing_columns(t):
-    return lake_checks.missing_columns(t.hotspot, k.EXPECTED_COLUMNS["hotspots"])
-
-
-@query("prj_10", "SELECT 'v2' AS version, count(*) AS sensor_rows FROM fx_sensor")
-def output_version(t):
-    version = lake_checks.output_version(composite(t))
-    return t.sensor.agg(F.count("*").alias("sensor_rows")).select(F.lit(version).alias("version"), "sensor_rows")
-
-
 @query("prj_11", """SELECT grid_id, strftime(date_trunc('hour', event_time), '%Y-%m-%dT%H:%M:%S') AS hour_bucket,
  event_time, 'nasa_firms' AS source, coalesce(bright_ti4, 0) AS temp_celsius, CAST(0 AS DOUBLE) AS humidity_pct,
  CAST(0 AS DOUBLE) AS wind_kmh, 1 AS hotspot_count, round(frp, 6) AS risk_score, round(latitude, 6) AS latitude,

@@ -147,6 +147,58 @@ COMPOSITE_CATALOGUE = {
     "join": ("janela_inicio", "janela_fim", "grid_id", "risco_composto"),
 }
 
+# --- catalogue of the lake: dataset, origin, column, description -------------------------------
+CATALOGUE = {
+    "hotspots": {
+        "satellite file": {
+            "latitude": "degrees north",
+            "longitude": "degrees east",
+            "bright_ti4": "brightness temperature of channel I4, kelvin",
+            "bright_ti5": "brightness temperature of channel I5, kelvin",
+            "frp": "fire radiative power, megawatt",
+            "acq_date": "date of detection",
+            "acq_time": "time of detection",
+            "confidence": "h high, n nominal, l low",
+            "daynight": "D day, N night",
+            "satellite": "satellite code",
+        },
+        "load": {
+            "satelite": "satellite name, from the file name",
+            "ano": "year of detection, partition",
+            "mes": "month of detection, partition",
+            "dia": "day of the month",
+            "grid_id": "nearest zone, partition",
+        },
+    },
+    "agregados_streaming": {
+        "sensor-events": {
+            "n_leituras_sensor": "sensor readings in the window",
+            "risk_medio_sensor": "mean risk score",
+            "risk_maximo_sensor": "highest risk score",
+            "temp_media": "mean temperature, Celsius",
+            "humidade_media": "mean relative humidity, percent",
+            "vento_medio": "mean wind speed, km/h",
+        },
+        "satellite-hotspots": {
+            "n_hotspots": "detections in the window",
+            "frp_medio": "mean fire radiative power, megawatt",
+            "frp_maximo": "highest fire radiative power, megawatt",
+        },
+        "weather-data": {
+            "temp_max_media": "mean of the highest temperatures, Celsius",
+            "humidade_ipma": "mean humidity of stations, percent",
+            "vento_max_ipma": "mean of the strongest winds, km/h",
+            "precipitacao_media": "mean precipitation, mm",
+        },
+        "join": {
+            "janela_inicio": "start of the window",
+            "janela_fim": "end of the window",
+            "grid_id": "zone",
+            "risco_composto": "composite hazard index",
+        },
+    },
+}
+
 # --- features of cells and zones -----------------------------------------------------------------
 
 GRID_STEP = 0.25  # degrees between reanalysis points

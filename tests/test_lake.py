@@ -121,3 +121,52 @@ def test_grid_report(spark):
     assert len(tables["monthly_precipitation"].collect()) == 12
     assert tables["temperature_by_hour"].collect()[0].h00 is not None
     assert grid_ops.temperature_map_matrix(grid_src.refine(hours), [-8.0]).columns == ["latitude", "-8.0"]
+
+
+def test_required_columns_of_stored_datasets(spark):
+    hot = spark.createDataFrame([(40.0, None), (41.0, "n")], "latitude double, confidence string")
+    found = checks.required_columns(
+        {"hotspots": hot, "agregados_streaming": None},
+        {"hotspots": ("latitude", "confidence", "frp"), "agregados_streaming": ("risco_composto",)})
+    assert sorted(tuple(r) for r in found.select("dataset", "column_name", "present", "filled", "rows").collect()) == [
+        ("agregados_streaming", "risco_composto", False, 0, 0),
+        ("hotspots", "confidence", True, 1, 2), ("hotspots", "frp", False, 0, 2), ("hotspots", "latitude", True, 2, 2)]
+    empty = checks.filled_columns(hot.limit(0), ("latitude",), "hotspots").collect()
+    assert [(r.present, r.filled, r.rows) for r in empty] == [(True, 0, 0)]
+
+
+def test_a_column_without_a_file_is_no_part_of_an_old_output(spark):
+    path = new_folder(spark, "versions")
+    old = spark.createDataFrame([("Z1", 1), ("Z2", 5)], "grid_id string, janela_inicio int")
+    new = old.selectExpr("grid_id", "janela_inicio + 10 AS janela_inicio", "0L AS n_hotspots", "0D AS frp_medio", "1D AS risco_composto")
+    old.coalesce(1).write.parquet(path)
+    only_old = checks.output_versions(spark.read.parquet(path)).collect()
+    assert [(r.version, r.files, r.rows, r.zones) for r in only_old] == [("v1", 1, 2, 2)]
+    new.coalesce(1).write.mode("append").parquet(path)
+    both = checks.output_versions(spark.read.option("mergeSchema", "true").parquet(path)).orderBy("version").collect()
+    assert [(r.version, r.files, r.rows, r.first_window, r.last_window) for r in both] == [("v1", 1, 2, 1, 5), ("v2", 1, 2, 11, 15)]
+
+
+def test_a_file_is_old_when_one_of_its_zones_lacks_the_join(spark):
+    path = new_folder(spark, "versions")
+    rows = spark.createDataFrame([("Z1", 1, 0, 0.0, 1.0), ("Z2", 2, None, 0.0, 1.0)],
+                                 "grid_id string, janela_inicio int, n_hotspots int, frp_medio double, risco_composto double")
+    rows.coalesce(1).write.parquet(path)
+    assert [r.version for r in checks.output_versions(spark.read.parquet(path)).collect()] == ["v1"]
+
+
+def test_column_catalogue_names_origin_and_what_is_beyond_it(spark):
+    frame = spark.createDataFrame([(1.0, 2, None)], "frp double, extra int, `odd.name` string")
+    rows = {r.column_name: r for r in checks.column_catalogue(frame, "hotspots").collect()}
+    assert (rows["frp"].origin, rows["frp"].present, rows["frp"].filled) == ("satellite file", True, 1)
+    assert (rows["grid_id"].origin, rows["grid_id"].present, rows["grid_id"].filled) == ("load", False, 0)
+    assert (rows["extra"].origin, rows["extra"].description, rows["extra"].filled) == ("uncatalogued", "", 1)
+    assert (rows["odd.name"].origin, rows["odd.name"].filled) == ("uncatalogued", 0)
+
+
+def test_loaded_partitions_come_from_paths(spark):
+    path = new_folder(spark, "parts")
+    spark.range(6).selectExpr("id", "CAST(id % 2 AS int) AS ano", "'Z' AS grid_id").write.partitionBy("ano", "grid_id").parquet(path)
+    loaded = checks.loaded_partitions(checks.files(spark, path, "parts"), ("ano", "mes", "grid_id"))
+    assert sorted(tuple(r) for r in loaded.select("ano", "mes", "grid_id").collect()) == [("0", None, "Z"), ("1", None, "Z")]
+    assert {r.folders for r in checks.inventory(checks.files(spark, path, "parts")).collect()} == {2}
