@@ -61,6 +61,7 @@ DETECTION_RANGES = (
 )
 DETECTION_REQUIRED = ("grid_id", "latitude", "longitude", "frp_mw")
 UNKNOWN_ZONES = ("PT-UNKNOWN", "")
+DETECTION_SUITE = (DETECTION_RANGES, DETECTION_REQUIRED)
 
 # --- fixed values: expectation suites (live, ad hoc) ---------------------------------
 LIVE_SUITE = (SENSOR_RANGES[:3], ("grid_id", "risk_score"))

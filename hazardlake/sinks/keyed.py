@@ -9,6 +9,7 @@ stored file is rewritten by a later batch.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
@@ -17,6 +18,7 @@ from hazardlake.operators.access import within_retention
 from hazardlake.sinks import tables
 
 KEY = ("grid_id", "hour_bucket", "event_time")
+READINGS = ("sensor_readings", "detection_readings")
 ORDER = ("batch_id", "arrival")
 
 
@@ -66,6 +68,19 @@ def read_latest(spark: SparkSession, path: str, order: tuple[str, ...] = ORDER,
     return latest_per_key(versions, ("dia_evento", *KEY), tuple(c for c in order if c in versions.columns))
 
 
+def read_readings(spark: SparkSession, root: str, as_of: Column | None = None, hours: int = k.RETENTION_HOURS) -> DataFrame:
+    """Current readings of the sensor and satellite streams below one root, as one table.
+
+    ``kind`` tells the rows apart: a sensor and a detection of the same zone and instant are two rows, neither
+    replaces the other. A stream that has not committed yet has no rows; without any commit there is nothing to read.
+    """
+    found = [name for name in READINGS if name in tables.manifest(spark, root).schemas]
+    if not found:
+        raise FileNotFoundError(f"{root}: no readings committed")
+    first, *rest = [read_latest(spark, f"{root}/{name}", as_of=as_of, hours=hours).drop("arrival", "batch_id") for name in found]
+    return reduce(DataFrame.unionByName, rest, first)
+
+
 def newest_first(readings: DataFrame) -> DataFrame:
     """Rows of a key together, newest first.
 

@@ -131,7 +131,11 @@ def sensor_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame,
 
 
 def detection_sink(root: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """Micro-batch of satellite candidates to readings, quarantine and metrics, in one commit."""
+    """Micro-batch of satellite candidates to readings, quarantine and metrics, in one commit.
+
+    No table has a name that :func:`sensor_sink` uses, so both may share a root, and ``keyed.read_readings`` reads the
+    rows of both streams as one table.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         now, written = _moment(batch.sparkSession, as_of)
         checked = quality.with_time_reason(quality.with_detection_reasons(keyed.numbered(batch)))
@@ -144,6 +148,8 @@ def detection_sink(root: str, as_of: Column | None = None) -> Callable[[DataFram
             out.add("detection_readings", access.detection_rows(typed).withColumn("written_at", now),
                     F.to_date("event_time"), ("grid_id", F.desc("event_time")), "dia_evento")
             out.add("detection_quarantine", quality.as_messages(record, "grid_id"), F.to_date(now), ("key",))
+            _add_points(out, "detection_quality", quality.quality_points(
+                _numbers(validated, DETECTION_NUMBERS), "event_time", "detection_readings", suite=k.DETECTION_SUITE), "source")
             _add_points(out, "detection_rejected_events", quality.rejection_points(record), "reason", "grid_id")
             _add_points(out, "detection_latency", quality.latency_points(
                 typed, latency_ms(F.col("event_time"), now), k.DETECTION_TOPIC, now), "topic", "grid_id")

@@ -22,7 +22,10 @@ def duck():
 
 def test_every_inventory_row_is_registered():
     listed = {i.lower() for i in re.findall(r"^\| ([A-Z]{2,3}_\d+) \|", SURVEY.read_text(), re.M)}
-    assert listed == set(catalog.callables()) == set(catalog.twins())
+    beyond = {n for n in catalog.callables() if n.startswith(("ft_", "tb_"))}
+    assert listed | beyond == set(catalog.callables())
+    # predictions are fitted, which SQL cannot say; tests/test_features.py has a plain version
+    assert set(catalog.callables()) - set(catalog.twins()) == {"ft_04"}
     assert listed <= set(entry.queries()) and listed <= set(entry.oracle_sql())
 
 

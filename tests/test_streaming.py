@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.functions.calendar import hour_bucket
@@ -141,6 +142,31 @@ def test_detection_ingestion_keeps_row_kinds_apart(spark):
     row = keyed.read_latest(spark, f"{root}/detection_readings").collect()[0]
     assert (row.kind, row.source, row.temp_celsius, row.risk_score, row.humidity_pct) == ("detection", "nasa_firms", 320.0, 100.0, 0.0)
     assert spark.read.parquet(f"{root}/detection_quarantine").count() == 1
+    point = spark.read.parquet(f"{root}/detection_quality").collect()
+    assert [(p.source, p.total_rows, p.failed_expectations, p.success_percent) for p in point] == [("detection_readings", 2, 0, 100.0)]
+
+
+def test_detections_outside_the_rules_lower_the_quality_of_their_batch(spark):
+    folder, root = new_folder(spark, "detections"), new_folder(spark, "ingest")
+    put(spark, folder, detection(1), detection(2, brightness=900.0), detection(3, grid_id=None, latitude=50.0))
+    frame = sq.detection_candidates(src.envelope_folder(spark, folder))
+    sq.start(frame, new_folder(spark, "checkpoint"), once=True, sink=sq.detection_sink(root)).awaitTermination()
+    point = spark.read.parquet(f"{root}/detection_quality").collect()[0]
+    assert (point.total_rows, point.successful_expectations, point.failed_expectations) == (3, 5, 3)
+
+
+def test_both_streams_are_read_as_one_table(spark):
+    root = new_folder(spark, "ingest")
+    with pytest.raises(FileNotFoundError):
+        keyed.read_readings(spark, root)
+    for candidates, sink, rows in ((sq.sensor_candidates, sq.sensor_sink, (reading(1), reading(2))),
+                                   (sq.detection_candidates, sq.detection_sink, (detection(1),))):
+        folder = new_folder(spark, "topic")
+        put(spark, folder, *rows)
+        for _ in range(2):  # the second run finds nothing new
+            sq.start(candidates(src.envelope_folder(spark, folder)), f"{folder}-checkpoint", once=True, sink=sink(root)).awaitTermination()
+        kinds = sorted(r.kind for r in keyed.read_readings(spark, root).collect())
+        assert kinds == (["sensor"] * 2 if sink is sq.sensor_sink else ["detection", "sensor", "sensor"])
 
 
 def test_unreadable_times_are_quarantined(spark):
