@@ -143,7 +143,11 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. Dropped rows are marked, so no text moves again."""
+    """The documents that stay, with all their columns. Dropped rows are marked, so no text moves again.
+
+    Null texts are equal to empty ones, so one of all these stays; ties, repeated rows and null ids are as in
+    :func:`decisions`. An empty table stays empty.
+    """
     staged, found, _ = _resolve(docs, id_col, text_col)
     dropped = marks_of(found.filter("NOT kept").select("sender", "seq"))
     return unpacked(with_marks(staged, dropped, "left").filter(~is_marked()))

@@ -218,7 +218,11 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One document of each class, that of the least id, with all its columns."""
+    """One document of each class, that of the least id, with all its columns.
+
+    Texts without words (null among them) are one class, so one of them stays. Null ids give way to others; of rows that
+    repeat the id one stays. An empty table stays empty. For classes see :func:`joined`.
+    """
     staged, rows, result = _joined(docs, id_col, text_col, threshold, tolerance)
     classed = rows.join(result.select("digest", "root"), "digest")
     # a null id gives way to any other; among rows that repeat the id the first written stays

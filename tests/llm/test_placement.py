@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -61,6 +62,17 @@ def test_chat_round_trip(spark):
     assert chat_format.formatted(df.limit(0)).count() == 0
 
 
+def test_chat_round_trip_of_a_very_long_text(spark):
+    """Escapes all over a text of some million characters, and a conversation of some hundred turns."""
+    long_text = "### Assistant: </turn> \\\\ \n" * 60_000
+    rows = [(1, 0, "user", long_text), (1, 1, "assistant", long_text)] + [(2, t, "assistant", CONTROL[0]) for t in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat_format.formatted(df).collect()}
+    assert [tuple(t) for t in found[1].turns] == [("user", long_text), ("assistant", long_text)]
+    assert found[1].loss_text == long_text
+    assert len(found[2].turns) == len(found[2].mask) == 300 and found[2].loss_text == CONTROL[0] * 300
+
+
 def test_targets_are_what_resharing_gives(spark):
     totals = {"a": 100, "b": 10, "c": 1000, "d": 0, "e": 500}
     sources = spark.createDataFrame([(s, False, n) for s, n in totals.items()], "src string, none boolean, total long")
@@ -199,6 +211,56 @@ def test_sharded_rows_are_whole_and_in_their_shards_files(request, table):
         (r.doc_id, r.shard) for r in sharding.placements(docs).collect())
 
 
+def signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def plain_key(doc_id: int, text: str) -> tuple[int, int]:
+    """The sort key's first two parts, by another implementation of the hash."""
+    return (signed(xxhash.xxh64_intdigest(text.encode(), seed=42)),
+            signed(xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little", signed=True), seed=42)))
+
+
+@pytest.mark.parametrize("shards", [16, 5, 1])
+def test_shards_against_a_plain_sort(documents, shards):
+    """Rows sorted on one machine and cut: the same order, slots, sizes and checksums; borders within the tolerance."""
+    rows = [(plain_key(r.doc_id, r.text or ""), r.doc_id, (r.text or "").encode()) for r in documents.collect()]
+    rows.sort(key=lambda r: r[0])
+    total = sum(len(text) + 1 for _, _, text in rows)
+    found = sharding.sharded(documents, shards).orderBy("shard_number", "shard_slot").collect()
+    assert [r.doc_id for r in found] == [name for _, name, _ in rows]
+    assert [(r.text or "").encode() for r in found] == [text for _, _, text in rows]
+    expected_slot, before, last = 0, 0, 0
+    for r, (key, _, text) in zip(found, rows):
+        if r.shard_number != last:
+            assert r.shard_number == last + 1
+            # a border lies within the tolerance, or as near to the wanted place as the row that spans it lets it
+            wanted = total * r.shard_number / shards
+            assert abs(before - wanted) <= max(sharding.TOLERANCE * total / shards, len(text) + 1, previous)
+            expected_slot, last = 0, r.shard_number
+        assert r.shard_slot == expected_slot
+        expected_slot, before, previous = expected_slot + 1, before + len(text) + 1, len(text) + 1
+    assert last == shards - 1
+
+
+@pytest.mark.parametrize("shards", [16, 7])
+def test_splitters_count_what_lies_below_them(spark, shards):
+    """Exact bytes below each splitter, added up row by row, with a third of the rows one text."""
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same text everywhere").otherwise(F.concat(F.lit("text "), F.col("id") % 4000)).alias("text"))
+    keyed = sharding.keyed(docs, "doc_id", "text").select("size", *sharding.PARTS)
+    rows = [(tuple(r)[1:], r.size) for r in keyed.collect()]
+    total = sum(size for _, size in rows)
+    largest = max(size for _, size in rows)
+    cuts = sharding.splitters(keyed, shards)
+    assert len(cuts) == shards - 1 and cuts == sorted(cuts)
+    for n, cut in enumerate(cuts, 1):
+        below = sum(size for key, size in rows if key < tuple(cut))
+        # copies of a short text that take little of a shard stay together
+        assert abs(below - total * n / shards) <= sharding.TOLERANCE * total / shards + 3 * largest
+
+
 def test_shards_are_near_equal_with_a_hot_text(spark):
     docs = spark.range(30000).select(
         F.col("id").alias("doc_id"),
