@@ -8,6 +8,8 @@ from hazardlake import constants as k
 from hazardlake.functions.geo import cell_area, cell_centre, neighbours
 
 DAY = "dia"
+# an array within a row has fewer rows than twice the first step: a row ends at 2 GB, and an instant takes 24 bytes
+SEARCH_STEPS = tuple(2 ** power for power in reversed(range(27)))
 
 
 # --- as-of join -------------------------------------------------------------------------------
@@ -16,24 +18,34 @@ def asof_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_tim
               tolerance_seconds: int, values: tuple[str, ...]) -> DataFrame:
     """Each left row with the ``values`` of the latest right row of its keys, not after it and not older than the tolerance.
 
-    The right side has one row per keys and time. Time is cut into slots as long as the tolerance; a right row
-    enters its own slot and the next, so whatever a left row may match stands in one slot. The rows of a slot are
-    few (the instants of two tolerances) and travel as one sorted array, so the join is on keys and slot
-    alone: left rows are neither sorted nor gathered, and AQE splits a slot that many of them share. A left row
-    without a match keeps null values; so does one with a null key or time. Adds ``matched_time`` and ``values``.
+    The right side has one row per keys and time. Time is cut into slots as long as the tolerance; the right rows of
+    a slot travel as one sorted array, which begins with the last row of the slot before. Whatever a left row may
+    match stands in the array of its slot, so the join is on keys and slot alone: left rows are neither sorted nor
+    gathered, and AQE splits a slot that many of them share. A left row halves its array until the match is found, by
+    plain expressions, which read the array in place: its work grows with the logarithm of the slot's instants, and the
+    array is not copied per row. The instants of one tolerance must fit into a row. A left row without a match keeps
+    null values; so does one with a null key or time. Adds ``matched_time`` and ``values``.
     """
     def slot(time: Column) -> Column:
         return F.floor(F.unix_seconds(time) / tolerance_seconds)
 
-    seen = right.filter(F.col(right_time).isNotNull()).select(
-        *keys, F.explode(F.array(slot(F.col(right_time)), slot(F.col(right_time)) + 1)).alias("_slot"),
-        F.struct(F.col(right_time).alias("at"), *values).alias("_row"))
-    slots = seen.groupBy(*keys, "_slot").agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
+    by = [*keys, "_slot"]
+    # partitioned first: rows are gathered once, not per map task and again
+    gathered = right.filter(F.col(right_time).isNotNull()).select(
+        *keys, slot(F.col(right_time)).alias("_slot"), F.struct(F.col(right_time).alias("at"), *values).alias("_row")) \
+        .repartition(*by).groupBy(*by).agg(F.sort_array(F.collect_list("_row")).alias("_own"))
+    entered = gathered.select(*keys, F.inline(F.array(
+        F.struct(F.col("_slot").alias("_slot"), F.col("_own").alias("_part")),
+        F.struct((F.col("_slot") + 1).alias("_slot"), F.slice("_own", -1, 1).alias("_part")))))
+    slots = entered.repartition(*by).groupBy(*by).agg(F.flatten(F.sort_array(F.collect_list("_part"))).alias("_rows"))
+
+    joined = left.withColumn("_slot", slot(F.col(left_time))).join(slots, by, "left").withColumn("_n", F.lit(0))
+    for step in SEARCH_STEPS:  # _n rows are known to be not after the left row
+        fits = F.get("_rows", F.col("_n") + (step - 1))["at"] <= F.col(left_time)
+        joined = joined.withColumn("_n", F.col("_n") + F.when(fits, step).otherwise(0))
+    last = F.get("_rows", F.col("_n") - 1)
     age = F.expr(f"INTERVAL {int(tolerance_seconds)} SECONDS")
-    last = F.try_element_at(
-        F.filter("_rows", lambda r: (r["at"] <= F.col(left_time)) & (r["at"] >= F.col(left_time) - age)), F.lit(-1))
-    joined = left.withColumn("_slot", slot(F.col(left_time))).join(slots, [*keys, "_slot"], "left") \
-        .withColumn("_last", last)
+    joined = joined.withColumn("_last", F.when(last["at"] >= F.col(left_time) - age, last))
     return joined.select(*[F.col(c) for c in left.columns], F.col("_last")["at"].alias("matched_time"),
                          *[F.col("_last")[v].alias(v) for v in values])
 

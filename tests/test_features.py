@@ -60,6 +60,25 @@ def test_left_rows_move_by_key_alone(spark):
     assert re.search(r"SortMergeJoin(\(skew=\w+\))? \[cell.*LeftOuter", plan)
 
 
+def test_slots_of_many_instants_are_searched_not_scanned(spark):
+    """Slots of 0 to 40 rows and one of 20,000; the work of a left row must not grow with the rows of its slot."""
+    hour = 3600
+    times = [n * hour + (i * hour) // n for n in range(41) for i in range(n)] + sorted({50 * hour + i * 7919 % hour for i in range(3_600)})
+    at = np.array(times) * 1_000_000
+    at = np.sort(np.concatenate([at, 60 * hour * 1_000_000 + np.arange(20_000) * 170_001]))
+    seen = np.concatenate([at[::7], at[::11] - 1, at[::13] + 1, np.arange(0, 64 * hour, 311) * 1_000_000])
+    left = spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(seen)], "id long, cell int, us long") \
+        .withColumn("seen", F.timestamp_micros("us"))
+    right = spark.createDataFrame([(1, int(t), float(i)) for i, t in enumerate(at)], "cell int, us long, v double") \
+        .select("cell", F.timestamp_micros("us").alias("time"), "v")
+    found = features.asof_join(left, right, ("cell",), "seen", "time", hour, ("v",))
+    place = np.searchsorted(at, seen, side="right") - 1
+    expected = {i: float(n) if n >= 0 and seen[i] - at[n] <= hour * 1_000_000 else None for i, n in enumerate(place)}
+    assert {r.id: r.v for r in found.collect()} == expected
+    assert None in expected.values() and len(expected) == len(seen)
+    assert "lambda" not in plan_of(found)
+
+
 def test_empty_sides(spark):
     a = spark.createDataFrame([(1, START)], "cell int, seen timestamp")
     b = spark.createDataFrame([], "cell int, time timestamp, v double")
